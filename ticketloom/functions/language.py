@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Mapping
+from collections.abc import Callable, Iterator, Mapping, Sequence
 
 import pandas as pd
 from pyspark.sql import Column
@@ -30,13 +30,31 @@ def word_array(values) -> Column:
     return F.array(*[F.lit(value) for value in sorted(set(values))])
 
 
-def best_language(scores: Mapping[str, Column]) -> Column:
-    """The language with the highest score; the first listed wins a tie, none = unknown."""
-    top = F.greatest(*scores.values())
-    chosen = F.when(top == 0, F.lit(UNKNOWN))
-    for language, score in scores.items():
-        chosen = chosen.when(score == top, F.lit(language))
-    return chosen
+def detected_language(text: Column, stop_words: Mapping[str, Sequence[str]]) -> Column:
+    """The language with the most different stop words in the text, or 'unknown'.
+
+    One expression that names ``text`` once: a filter on the result can be pushed below
+    the projection without scoring the text several times. The text is split once and
+    reduced to the listed words it contains; the one-element ``transform`` binds that
+    short list, which every language's score then reads.
+    """
+    every_word = word_array(w for listed in stop_words.values() for w in listed)
+    present = F.array_intersect(words(text), every_word)
+
+    def candidate(score: Column, rank: int, name: str) -> Column:
+        return F.struct(
+            score.alias("score"), F.lit(rank).alias("rank"), F.lit(name).alias("name")
+        )
+
+    def best(found: Column) -> Column:
+        # 'unknown' scores nothing and outranks languages that score nothing as well.
+        candidates = [candidate(F.lit(0), 1, UNKNOWN)]
+        for i, (name, listed) in enumerate(stop_words.items()):
+            hits = F.size(F.array_intersect(found, word_array(listed)))
+            candidates.append(candidate(hits, -i, name))
+        return F.array_max(F.array(*candidates))
+
+    return F.get(F.transform(F.array(present), best), 0)["name"]
 
 
 def is_language(answer: Column, language: str) -> Column:

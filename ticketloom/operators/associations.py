@@ -81,14 +81,15 @@ def first_association(
 ) -> DataFrame:
     """Each ticket's first association in response order, ties broken by ``ties``.
 
-    An aggregate rather than a ranking: each map task sends one row per ticket.
+    The minimum of a struct that leads with the order columns: an aggregate, not a
+    ranking, so each map task sends one row per ticket however many it holds.
     """
-    payload = [c for c in edges.columns if c != "ticket_id"]
-    rank = F.struct(*order_by, *ties)
+    rank = list(dict.fromkeys((*order_by, *ties)))
+    rest = [c for c in edges.columns if c not in ("ticket_id", *rank)]
     return (
         edges.groupBy("ticket_id")
-        .agg(F.min_by(F.struct(*payload), rank).alias("first"))
-        .select("ticket_id", "first.*")
+        .agg(F.min(F.struct(*rank, *rest)).alias("first"))
+        .select(*[F.col(c) if c == "ticket_id" else F.col(f"first.{c}") for c in edges.columns])
     )
 
 

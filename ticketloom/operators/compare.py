@@ -18,15 +18,29 @@ def first_email_compare(
     emails: DataFrame,
     order_by: Sequence[str] = ("pos",),
     ties: Sequence[str] = ("association_id",),
+    few_tickets: bool = False,
 ) -> DataFrame:
     """Ticket -> first association -> e-mail; tickets lacking either give no row.
 
-    The edges shrink to one row per ticket before any join. A ticket id that occurs
-    more than once is looked up once, as a point lookup would.
+    A ticket id that occurs more than once is looked up once, as a point lookup would.
+    The edges shrink to one row per ticket before they meet the tickets; with
+    ``few_tickets`` they are first filtered by joining them.
     """
-    subjects = tickets.groupBy("id").agg(F.min("subject").alias("ticket_subject"))
-    first = first_association(edges.select("ticket_id", "association_id", *_extra(order_by, ties)),
-                              order_by, ties)
+    rank = list(dict.fromkeys((*order_by, *ties)))
+    lookups = edges.select("ticket_id", *dict.fromkeys(("association_id", *rank)))
+    subject = F.min("subject").alias("ticket_subject")
+    if few_tickets:
+        wanted = tickets.select("id", "subject")
+        first = (
+            lookups.join(wanted, F.col("ticket_id") == F.col("id"), "inner")
+            .groupBy("ticket_id")
+            .agg(F.min(F.struct(*dict.fromkeys((*rank, "association_id")))).alias("first"), subject)
+            .select("ticket_id", "ticket_subject", "first.association_id")
+        )
+    else:
+        first = first_association(lookups, order_by, ties).join(
+            tickets.groupBy("id").agg(subject), F.col("ticket_id") == F.col("id"), "inner"
+        )
     details = emails.select(
         F.col("id").alias("__email_id"),
         F.col("hs_email_subject").alias("email_subject"),
@@ -34,17 +48,12 @@ def first_email_compare(
         F.col("hs_email_html").alias("email_html"),
     )
     return (
-        first.select("ticket_id", "association_id")
-        .join(subjects, F.col("ticket_id") == F.col("id"), "inner")
+        first.select("ticket_id", "association_id", "ticket_subject")
         .join(details, F.col("association_id") == F.col("__email_id"), "inner")
         .select("ticket_id", "ticket_subject", "email_subject", "email_text", "email_html")
     )
 
 
-def _extra(order_by: Sequence[str], ties: Sequence[str]) -> list[str]:
-    return [c for c in dict.fromkeys((*order_by, *ties)) if c not in ("ticket_id", "association_id")]
-
-
 def _matches():
     return same_text(F.col("ticket_subject"), F.col("email_subject"))
 

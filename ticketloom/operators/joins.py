@@ -28,12 +28,22 @@ def left_join_to_many(
     In an outer join only the preserved side of a skewed partition can be split, so
     every right row of a hot key would meet in one task. An inner join may be split on
     both sides (and may broadcast either side that is small), so the matched rows come
-    from an inner join and the unmatched ones from an anti join against distinct keys.
-    Both branches read the same shuffle of ``left``.
+    from an inner join, and the unmatched ones from a join with the distinct keys.
+    Rows with a NULL key are a branch of their own, and the unmatched rows come from an
+    outer join whose match is missing (an anti join would be moved below ``left``'s
+    projection): so both joins read ``left`` through one shared shuffle.
     """
     shared = set(left.columns) & set(right.columns)
     if shared:
         raise ValueError(f"columns on both sides of the join: {sorted(shared)}")
-    matched = left.join(right, F.col(left_key) == F.col(right_key), "inner")
-    unmatched = without_match(left, right, left_key, right_key)
-    return matched.unionByName(unmatched, allowMissingColumns=True)
+    keyed = left.where(F.col(left_key).isNotNull())
+    matched = keyed.join(right, F.col(left_key) == F.col(right_key), "inner")
+    unmatched = (
+        keyed.join(distinct_keys(right, right_key), F.col(left_key) == F.col(_KEY), "left")
+        .where(F.col(_KEY).isNull())
+        .drop(_KEY)
+    )
+    unkeyed = left.where(F.col(left_key).isNull())
+    return matched.unionByName(unmatched, allowMissingColumns=True).unionByName(
+        unkeyed, allowMissingColumns=True
+    )

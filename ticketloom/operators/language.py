@@ -33,32 +33,20 @@ def detect_language(
 ) -> DataFrame:
     """Add ``detected_language``; blank text is 'unknown', a failed detector 'error'.
 
-    The built-in detector scores the whole text by how many different stop words of each
-    language occur in it. The text is split once and reduced to the listed words it
-    contains, so the per-language scores look at a short list whatever the text's length.
+    The built-in detector scores the whole text by the stop words that occur in it.
     """
+    if detector is None:
+        text = txt.null_to_empty(F.col(column))
+        return df.withColumn("detected_language", lang.detected_language(text, stop_words))
     blank = txt.is_blank(F.col(column))
-    if detector is not None:
-        answer = lang.ask_provider(F.when(~blank, F.col(column)), detector)
-        return df.withColumn("__answer", answer).withColumn(
-            "detected_language",
-            F.when(blank, lang.UNKNOWN).otherwise(F.coalesce("__answer", F.lit(lang.ERROR))),
-        ).drop("__answer")
-    every_word = lang.word_array(w for listed in stop_words.values() for w in listed)
-    present = F.array_intersect(lang.words(txt.null_to_empty(F.col(column))), every_word)
-    scores = {name: f"__score_{i}" for i, name in enumerate(stop_words)}
+    answer = lang.ask_provider(F.when(~blank, F.col(column)), detector)
     return (
-        df.withColumn("__present", present)
-        .withColumns(
-            {
-                scores[name]: F.size(F.array_intersect("__present", lang.word_array(listed)))
-                for name, listed in stop_words.items()
-            }
-        )
+        df.withColumn("__answer", answer)
         .withColumn(
-            "detected_language", lang.best_language({n: F.col(c) for n, c in scores.items()})
+            "detected_language",
+            F.when(blank, F.lit(lang.UNKNOWN)).otherwise(F.coalesce("__answer", F.lit(lang.ERROR))),
         )
-        .drop("__present", *scores.values())
+        .drop("__answer")
     )
 
 
@@ -124,15 +112,19 @@ def glossary_translate(
     source: str = lang.SOURCE_LANGUAGE,
     glossary: Mapping[str, str] | None = None,
 ) -> DataFrame:
-    """The rows of the source language, whole texts, substituted word for word."""
+    """The rows of the source language, whole texts, substituted word for word.
+
+    The kept rows' language is known, so it is set anew rather than scored again.
+    """
+    answer = glossary if glossary is not None else GLOSSARIES[source]
     return (
         detect_language(df, column)
         .where(lang.is_language(F.col("detected_language"), source))
-        .withColumn(
-            "translated_content",
-            lang.glossary_text(
-                F.col(column), glossary if glossary is not None else GLOSSARIES[source]
-            ),
+        .withColumns(
+            {
+                "detected_language": F.lit(source),
+                "translated_content": lang.glossary_text(F.col(column), answer),
+            }
         )
     )
 

@@ -6,7 +6,6 @@ from collections.abc import Sequence
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from ticketloom.operators import compare
 from ticketloom.operators.tickets import sample_tickets
@@ -30,17 +29,14 @@ def compare_subjects(
 ) -> SubjectReport:
     """Compare ``sample`` tickets (``None``: all of them) with their first e-mails.
 
-    The sample is a limited relation, so its size is known to the planner, which filters
-    the edges by it before they are grouped.
+    The sample is a limited relation, so the planner knows its size and broadcasts it when
+    it is small; the edges are cut down to it before they are grouped.
     """
     if sample is not None:
         tickets = sample_tickets(tickets.select("id", "subject"), sample, seed)
-        edges = edges.join(
-            tickets.select(F.col("id").alias("__sampled")),
-            F.col("ticket_id") == F.col("__sampled"),
-            "left_semi",
-        )
-    comparison = compare.first_email_compare(tickets, edges, emails, order_by, ties)
+    comparison = compare.first_email_compare(
+        tickets, edges, emails, order_by, ties, few_tickets=sample is not None
+    )
     return SubjectReport(
         comparison,
         compare.subject_match_rate(comparison),
