@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from conftest import final_plan, values
 from ticketloom import schemas
 from ticketloom.operators import associations as ops
-from ticketloom.operators import compare, tickets
+from ticketloom.operators import compare, joins, tickets
 from ticketloom.plans.associations import analyse_associations, expand_emails
 from ticketloom.plans.subjects import compare_subjects
 
@@ -222,20 +222,81 @@ def hot_edges(spark, n=400_000):
     )
 
 
-def test_hot_ticket_is_split_in_the_merge(spark, conf):
+def test_hot_ticket_is_dealt_over_the_tasks_of_the_merge(spark, conf):
+    conf(
+        spark__sql__autoBroadcastJoinThreshold="-1",
+        spark__sql__adaptive__coalescePartitions__enabled="false",
+        spark__sql__shuffle__partitions="32",
+    )
+    t = spark.range(0, 25_000).select(F.col("id").cast("string").alias("id"))
+    e = hot_edges(spark)
+
+    def largest_task(df):
+        per_task = df.groupBy(F.spark_partition_id().alias("task")).count()
+        return per_task.agg(F.max("count")).first()[0]
+
+    merged = ops.merge_associations(t, e, rows_per_share=1000)
+    plain = t.join(e, t.id == e.ticket_id, "left")
+    assert largest_task(plain) > 133_000
+    assert largest_task(merged) < 25_000
+    assert merged.count() == plain.count()
+    assert values(digest(merged)) == values(digest(plain))
+    assert "ReusedExchange" in final_plan(merged)
+
+
+def digest(df):
+    """An order-independent fingerprint of a table."""
+    return df.agg(F.count("*"), F.sum(F.xxhash64(*df.columns).cast("decimal(38,0)")))
+
+
+def test_copies_of_one_edge_are_dealt_out_too(spark):
+    t = tickets_of(spark, "7", "8", "9", None)
+    copies = spark.range(0, 5000, 1, 16).select(
+        F.lit("7").alias("ticket_id"), F.lit("a").alias("association_id"), F.lit(0).alias("pos")
+    )
+    e = copies.union(spark.createDataFrame([("8", "b", 0), ("1", "c", 0), (None, "d", 0)], e_schema))
+    merged = ops.merge_associations(t, e, rows_per_share=100)
+    counted = values(merged.groupBy("id", "association_id").count())
+    assert counted == sorted([("7", "a", 5000), ("8", "b", 1), ("9", None, 1), (None, None, 1)], key=repr)
+
+
+e_schema = "ticket_id string, association_id string, pos int"
+
+
+def test_repeated_hot_tickets_multiply_like_any_join(spark):
+    t = tickets_of(spark, "7", "7", "8")
+    e = edges_of(spark, [("7", str(i), i) for i in range(50)])
+    merged = ops.merge_associations(t, e, rows_per_share=10)
+    assert values(merged) == values(t.join(e, t.id == e.ticket_id, "left"))
+
+
+def test_hot_keys_are_listed_largest_first_and_bounded(spark, monkeypatch):
+    monkeypatch.setattr(joins, "MAX_HOT_KEYS", 2)
+    rows = [(k, "x", 0) for k, n in (("a", 5), ("b", 30), ("c", 21), ("d", 25)) for _ in range(n)]
+    e = edges_of(spark, rows)
+    assert values(joins.hot_keys(e, "ticket_id", 10)) == [("b", 3), ("d", 3)]
+    t = tickets_of(spark, "a", "b", "c", "d", "e")
+    merged = ops.merge_associations(t, e, rows_per_share=10)
+    assert values(merged) == values(t.join(e, t.id == e.ticket_id, "left"))
+
+
+def test_adaptive_execution_splits_a_hot_email(spark, conf):
     conf(
         spark__sql__autoBroadcastJoinThreshold="-1",
         spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes="1MB",
         spark__sql__adaptive__skewJoin__skewedPartitionFactor="2",
         spark__sql__adaptive__advisoryPartitionSizeInBytes="1MB",
     )
-    t = spark.range(0, 25_000).select(F.col("id").cast("string").alias("id"))
-    e = hot_edges(spark)
-    merged = ops.merge_associations(t, e)
-    plan = final_plan(merged)
-    assert "SortMergeJoin(skew=true)" in plan
-    assert "ReusedExchange" in plan
-    assert merged.count() == t.join(e, t.id == e.ticket_id, "left").count()
+    e = hot_edges(spark).select(
+        F.col("association_id").alias("ticket_id"), F.col("ticket_id").alias("association_id"), "pos"
+    )
+    m = spark.range(0, 25_000).select(
+        F.col("id").cast("string").alias("id"),
+        *[F.lit("x").alias(c) for c in schemas.EMAIL.fieldNames()[1:]],
+    )
+    expanded = ops.ticket_emails(e, m)
+    assert "SortMergeJoin(skew=true)" in final_plan(expanded)
+    assert expanded.count() == 400_000
 
 
 def test_hot_ticket_is_combined_before_the_shuffle(spark):

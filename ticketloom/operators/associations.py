@@ -13,14 +13,16 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ticketloom.functions.ratios import percent
-from ticketloom.operators.joins import left_join_to_many, without_match
+from ticketloom.operators.joins import ROWS_PER_SHARE, left_join_to_many, without_match
 
 MAX_PER_TICKET = 100
 
 
-def merge_associations(tickets: DataFrame, edges: DataFrame) -> DataFrame:
+def merge_associations(
+    tickets: DataFrame, edges: DataFrame, rows_per_share: int = ROWS_PER_SHARE
+) -> DataFrame:
     """Tickets left-merged with their associations, both key columns kept."""
-    return left_join_to_many(tickets, edges, "id", "ticket_id")
+    return left_join_to_many(tickets, edges, "id", "ticket_id", rows_per_share)
 
 
 def tickets_without_association(tickets: DataFrame, edges: DataFrame) -> DataFrame:

@@ -6,6 +6,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 _KEY = "__join_key"
+_HOT_KEY = "__hot_key"
+_SHARES = "__shares"
+
+ROWS_PER_SHARE = 1_000_000
+MAX_HOT_KEYS = 1000
 
 
 def distinct_keys(df: DataFrame, key: str) -> DataFrame:
@@ -20,30 +25,62 @@ def without_match(left: DataFrame, right: DataFrame, left_key: str, right_key: s
     return left.join(keys, F.col(left_key) == F.col(_KEY), "left_anti")
 
 
+def hot_keys(df: DataFrame, key: str, rows_per_share: int) -> DataFrame:
+    """The keys holding at least ``rows_per_share`` rows and how many shares each needs.
+
+    Counts are combined map-side. At most ``MAX_HOT_KEYS`` keys are listed, the largest
+    ones, so the list can be broadcast; any other key holds less than that fraction of
+    the rows and needs no splitting.
+    """
+    return (
+        df.where(F.col(key).isNotNull())
+        .groupBy(F.col(key).alias(_HOT_KEY))
+        .agg(F.count("*").alias("__n"))
+        .where(F.col("__n") >= rows_per_share)
+        .orderBy(F.desc("__n"), _HOT_KEY)
+        .limit(MAX_HOT_KEYS)
+        .select(_HOT_KEY, F.ceil(F.col("__n") / rows_per_share).cast("int").alias(_SHARES))
+    )
+
+
 def left_join_to_many(
-    left: DataFrame, right: DataFrame, left_key: str, right_key: str
+    left: DataFrame,
+    right: DataFrame,
+    left_key: str,
+    right_key: str,
+    rows_per_share: int = ROWS_PER_SHARE,
 ) -> DataFrame:
     """Left outer join for a ``right`` side in which one key may hold a huge share.
 
-    In an outer join only the preserved side of a skewed partition can be split, so
-    every right row of a hot key would meet in one task. An inner join may be split on
-    both sides (and may broadcast either side that is small), so the matched rows come
-    from an inner join, and the unmatched ones from a join with the distinct keys.
-    Rows with a NULL key are a branch of their own, and the unmatched rows come from an
-    outer join whose match is missing (an anti join would be moved below ``left``'s
-    projection): so both joins read ``left`` through one shared shuffle.
+    Adaptive execution splits a skewed partition only on the preserved side of an outer
+    join, so all right rows of a hot key would meet in one task. Here the rows of a hot
+    key are dealt into shares, and the left row of a hot key is repeated once per share.
+    A hot key has right rows by definition, so a repeated left row that found its share
+    empty is dropped; any other left row occurs once and keeps the outer join's meaning.
     """
     shared = set(left.columns) & set(right.columns)
     if shared:
         raise ValueError(f"columns on both sides of the join: {sorted(shared)}")
-    keyed = left.where(F.col(left_key).isNotNull())
-    matched = keyed.join(right, F.col(left_key) == F.col(right_key), "inner")
-    unmatched = (
-        keyed.join(distinct_keys(right, right_key), F.col(left_key) == F.col(_KEY), "left")
-        .where(F.col(_KEY).isNull())
-        .drop(_KEY)
+    hot = F.broadcast(hot_keys(right, right_key, rows_per_share))
+    # The task number spreads copies of one and the same row as well.
+    row = [f.name for f in right.schema if "map<" not in f.dataType.simpleString()]
+    dealt = F.pmod(F.xxhash64(*row, F.spark_partition_id()), F.col(_SHARES)).cast("int")
+    many = (
+        right.join(hot, F.col(right_key) == F.col(_HOT_KEY), "left")
+        .withColumn("__right_share", F.coalesce(dealt, F.lit(0)))
+        .drop(_HOT_KEY, _SHARES)
+    )
+    repeated = F.sequence(F.lit(0), F.coalesce(F.col(_SHARES) - 1, F.lit(0)))
+    one = left.join(hot, F.col(left_key) == F.col(_HOT_KEY), "left").withColumn(
+        "__left_share", F.explode(repeated)
     )
-    unkeyed = left.where(F.col(left_key).isNull())
-    return matched.unionByName(unmatched, allowMissingColumns=True).unionByName(
-        unkeyed, allowMissingColumns=True
+    return (
+        one.join(
+            many,
+            (F.col(left_key) == F.col(right_key))
+            & (F.col("__left_share") == F.col("__right_share")),
+            "left",
+        )
+        .where(F.col(_SHARES).isNull() | F.col(right_key).isNotNull())
+        .select(*left.columns, *right.columns)
     )
