@@ -152,7 +152,9 @@ def test_sample_is_repeatable_and_never_raises(spark):
 
 def test_expansion_splits_edges_into_resolved_and_unresolved(spark):
     t = tickets_of(spark, "1", "2", "3")
-    e = edges_of(spark, [("1", "x", 0), ("1", "y", 1), ("2", "gone", 0), ("2", None, 1)])
+    e = edges_of(
+        spark, [("1", "x", 0), ("1", "y", 1), ("2", "gone", 0), ("2", None, 1), ("4", "x", 0)]
+    )
     out = expand_emails(t, e, emails_of(spark, [("x", "X"), ("y", "Y")]))
     assert values(out.emails, "ticket_id", "association_id", "subject") == [
         ("1", "x", "X"),

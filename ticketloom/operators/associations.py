@@ -13,7 +13,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ticketloom.functions.ratios import percent
-from ticketloom.operators.joins import ROWS_PER_SHARE, left_join_to_many, without_match
+from ticketloom.operators.joins import (
+    ROWS_PER_SHARE,
+    distinct_keys,
+    left_join_to_many,
+    without_match,
+)
 
 MAX_PER_TICKET = 100
 
@@ -109,6 +114,12 @@ def associations_topk(
     return edges.withColumn("rank", F.row_number().over(w).cast("bigint")).where(F.col("rank") <= k)
 
 
+def edges_of_tickets(tickets: DataFrame, edges: DataFrame) -> DataFrame:
+    """The associations of the given tickets only."""
+    keys = distinct_keys(tickets, "id").toDF("__ticket")
+    return edges.join(keys, F.col("ticket_id") == F.col("__ticket"), "left_semi")
+
+
 def ticket_emails(edges: DataFrame, emails: DataFrame) -> DataFrame:
     """Every association expanded with its e-mail; unresolvable ones are dropped."""
     details = emails.select(

@@ -12,6 +12,7 @@ from ticketloom.functions import dates, text
 
 Day = dt.date | str | Column | None
 
+# The key columns of the raw ticket table.
 RAW_PREVIEW_COLUMNS = (
     "id",
     "property_subject",

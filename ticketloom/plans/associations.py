@@ -6,12 +6,11 @@ import datetime as dt
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ticketloom import schemas
 from ticketloom.operators import associations as assoc
 from ticketloom.operators import pages
-from ticketloom.sinks.csv_files import write_csv_run
+from ticketloom.sinks.csv_files import write_csv, write_csv_run
 from ticketloom.sources import landed
 
 
@@ -80,11 +79,19 @@ class ExpandedEmails(NamedTuple):
 
 
 def expand_emails(tickets: DataFrame, edges: DataFrame, emails: DataFrame) -> ExpandedEmails:
-    """All e-mails of all tickets, the associations that led nowhere, and e-mails per ticket."""
+    """All e-mails of the tickets, the associations that led nowhere, and e-mails per ticket."""
+    edges = assoc.edges_of_tickets(tickets, edges)
     expanded = assoc.ticket_emails(edges, emails)
-    ids = tickets.select(F.col("id"))
     return ExpandedEmails(
         expanded,
         assoc.unresolved_emails(edges, emails),
-        assoc.emails_per_ticket(ids, expanded),
+        assoc.emails_per_ticket(tickets.select("id"), expanded),
     )
+
+
+def export_ticket_emails(
+    tickets: DataFrame, edges: DataFrame, emails: DataFrame, output_path: str
+) -> str:
+    """The tickets' e-mails as CSV, the input of the e-mail content job."""
+    write_csv(expand_emails(tickets, edges, emails).emails, output_path, mode="overwrite")
+    return output_path

@@ -18,6 +18,8 @@ _STRING = T.StringType()
 _TIME = T.TimestampType()
 PROPERTIES = T.MapType(_STRING, _STRING)
 
+# Column and property names as the warehouse and the API give them.
+
 # Warehouse tables.
 TICKET_MART = _struct(
     ("ticket_id", _STRING),
