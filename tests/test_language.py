@@ -83,11 +83,22 @@ def test_failed_texts_become_errors_one_by_one(spark):
 
 
 def test_provider_must_answer_every_text(spark):
-    df = ops.translate_content(frame(spark, DUTCH, DUTCH).coalesce(1), provider=lambda t: t[:1])
+    two = frame(spark, DUTCH, DUTCH + " nog").coalesce(1)
+    df = ops.translate_content(two, provider=lambda t: t[:1])
     with pytest.raises(Exception, match="1 answers for 2 texts"):
         df.collect()
 
 
+def test_equal_texts_are_sent_once_in_batches_of_the_given_size(spark):
+    def sizes(texts: pd.Series) -> pd.Series:
+        return pd.Series([f"one of {len(texts)}"] * len(texts))
+
+    texts = [f"{DUTCH} {'nog ' * (i % 5)}" for i in range(20)]
+    df = ops.translate_content(frame(spark, *texts, None).coalesce(1), provider=sizes, batch_size=3)
+    answers = [answer for _, answer in outcome(df)]
+    assert answers == ["one of 3" if i % 5 < 3 else "one of 2" for i in range(20)] + [""]
+
+
 def test_detector_answers_are_stripped_and_failures_are_errors(spark):
     def detector(texts: pd.Series) -> pd.Series:
         return texts.map(lambda t: None if "fail" in t else " Dutch\n" if "vraag" in t else "Dutch.")

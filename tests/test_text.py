@@ -39,7 +39,7 @@ def test_no_break_space_stays_and_vertical_tab_collapses(spark):
     assert apply(spark, txt.clean_text, ["a b \u000bc"]) == ["a b c"]
 
 
-def reference_clean(body):
+def stepwise_clean(body):
     """The chain step by step, line breaks collapsed before other whitespace."""
     body = re.sub("<[^>]+>", " ", body)
     for entity, plain in (("&nbsp;", " "), ("&amp;", "&"), ("&lt;", "<"), ("&gt;", ">")):
@@ -57,7 +57,7 @@ def random_bodies(n=2000):
 
 def test_clean_equals_step_by_step_chain(spark):
     bodies = random_bodies()
-    assert apply(spark, txt.clean_text, bodies) == [reference_clean(b) for b in bodies]
+    assert apply(spark, txt.clean_text, bodies) == [stepwise_clean(b) for b in bodies]
 
 
 def test_line_breaks_step(spark):

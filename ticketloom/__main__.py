@@ -73,7 +73,7 @@ def translate(spark, args) -> None:
     result = emails.process_email_content(
         spark, args.input, args.output, schemas.TICKET_EMAIL, args.source_language,
         provider=_provider(args.provider), detector=_provider(args.detector),
-        max_chars=args.max_chars or None, partitions=args.partitions,
+        max_chars=args.max_chars or None, batch_size=args.batch_size, partitions=args.partitions,
     )
     shown = ["ticket_id", "detected_language", "translated_content"]
     preview(result, shown, ["ticket_id"]).show(truncate=False)
@@ -119,6 +119,7 @@ def _parser() -> argparse.ArgumentParser:
     p.add_argument("--provider", help="package.module:function, default the glossary")
     p.add_argument("--detector", help="package.module:function, default stop words")
     p.add_argument("--max-chars", type=int, default=txt.MAX_CHARS, help="0 keeps texts whole")
+    p.add_argument("--batch-size", type=int, help="texts per provider call")
     p.add_argument("--partitions", type=int)
     return parser
 

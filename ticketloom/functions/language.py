@@ -87,12 +87,13 @@ def glossary_text(text: Column, glossary: Mapping[str, str]) -> Column:
     )
 
 
-def ask_provider(text: Column, provider: Provider) -> Column:
-    """A provider's answers, Arrow batch by Arrow batch; NULL texts are never sent.
+def ask_provider(text: Column, provider: Provider, batch_size: int | None = None) -> Column:
+    """A provider's answers, batch by batch in the tasks; NULL texts are never sent.
 
-    If a batch fails its texts are asked one by one, so only the failing ones become
-    NULL. The batch size is ``spark.sql.execution.arrow.maxRecordsPerBatch``. The column
-    is marked non-deterministic so that the optimizer does not duplicate the calls.
+    Texts that are equal within an Arrow batch are sent once, ``batch_size`` at a time
+    (all of the Arrow batch by default, see ``spark.sql.execution.arrow.maxRecordsPerBatch``).
+    If a call fails its texts are asked one by one, so only the failing ones become NULL.
+    The column is marked non-deterministic so that the optimizer does not repeat the calls.
     """
 
     def ask(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -103,16 +104,22 @@ def ask_provider(text: Column, provider: Provider) -> Column:
                 return None
 
         for batch in batches:
-            sent = batch[batch.notna()]
-            answers = []
-            if len(sent):
+            texts = batch.dropna().drop_duplicates()
+            size = batch_size or max(len(texts), 1)
+            answers = {}
+            for start in range(0, len(texts), size):
+                sent = texts.iloc[start : start + size].reset_index(drop=True)
                 try:
-                    answers = list(provider(sent.reset_index(drop=True)))
+                    replies = list(provider(sent))
                 except Exception:
-                    answers = [ask_one(value) for value in sent]
-                if len(answers) != len(sent):
-                    raise ValueError(f"provider gave {len(answers)} answers for {len(sent)} texts")
-            answers = [a.strip() if isinstance(a, str) else None for a in answers]
-            yield pd.Series(answers, index=sent.index, dtype=object).reindex(batch.index)
+                    replies = [ask_one(value) for value in sent]
+                if len(replies) != len(sent):
+                    raise ValueError(f"provider gave {len(replies)} answers for {len(sent)} texts")
+                answers.update(
+                    (value, reply.strip())
+                    for value, reply in zip(sent, replies, strict=True)
+                    if isinstance(reply, str)
+                )
+            yield pd.Series([answers.get(value) for value in batch], dtype=object)
 
     return F.pandas_udf(ask, "string").asNondeterministic()(text)

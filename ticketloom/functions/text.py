@@ -13,15 +13,17 @@ ENTITIES = (
     ("&lt;", "<"),
     ("&gt;", ">"),
 )
+# Patterns, and how long text is cut.
 TAG = "<[^>]+>"
 LINE_BREAKS = "[\r\n\t]+"
 WHITESPACE = r"\s+"
-# Unicode-aware, so a body holding only no-break spaces counts as blank.
-BLANK = r"(?U)^\s*$"
-
 MAX_CHARS = 1000
 ELLIPSIS = "..."
 
+# Unicode-aware and with the information separators: what a string strip would remove,
+# so a body holding only no-break spaces counts as blank.
+BLANK = r"(?U)^[\s\x1C-\x1F]*$"
+
 
 def null_to_empty(text: Column) -> Column:
     return F.coalesce(text, F.lit(""))

@@ -30,6 +30,7 @@ def detect_language(
     column: str = "content",
     stop_words: Mapping[str, Sequence[str]] = STOP_WORDS,
     detector: lang.Provider | None = None,
+    batch_size: int | None = None,
 ) -> DataFrame:
     """Add ``detected_language``; blank text is 'unknown', a failed detector 'error'.
 
@@ -39,7 +40,7 @@ def detect_language(
         text = txt.null_to_empty(F.col(column))
         return df.withColumn("detected_language", lang.detected_language(text, stop_words))
     blank = txt.is_blank(F.col(column))
-    answer = lang.ask_provider(F.when(~blank, F.col(column)), detector)
+    answer = lang.ask_provider(F.when(~blank, F.col(column)), detector, batch_size)
     return (
         df.withColumn("__answer", answer)
         .withColumn(
@@ -77,6 +78,7 @@ def translate_content(
     provider: lang.Provider | None = None,
     detector: lang.Provider | None = None,
     max_chars: int | None = txt.MAX_CHARS,
+    batch_size: int | None = None,
 ) -> DataFrame:
     """Add ``detected_language`` and ``translated_content``.
 
@@ -85,10 +87,11 @@ def translate_content(
     ('error', the cut text). Only rows to be translated reach the provider. Without one,
     the source language's glossary is substituted word for word.
     """
-    routed = route_content(detect_language(df, column, detector=detector), column, source, max_chars)
+    detected = detect_language(df, column, detector=detector, batch_size=batch_size)
+    routed = route_content(detected, column, source, max_chars)
     asked = F.when(F.col("action") == lang.TRANSLATE, F.col("kept_content"))
     if provider is not None:
-        answer = lang.ask_provider(asked, provider)
+        answer = lang.ask_provider(asked, provider, batch_size)
     else:
         answer = lang.glossary_text(asked, glossary if glossary is not None else GLOSSARIES[source])
     failed = (F.col("action") == lang.TRANSLATE) & F.col("__answer").isNull()

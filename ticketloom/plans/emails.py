@@ -26,6 +26,7 @@ def process_email_content(
     provider: lang.Provider | None = None,
     detector: lang.Provider | None = None,
     max_chars: int | None = txt.MAX_CHARS,
+    batch_size: int | None = None,
     partitions: int | None = None,
 ) -> DataFrame:
     """Clean, detect and translate the ``content`` column and overwrite ``output_path``.
@@ -41,6 +42,7 @@ def process_email_content(
         provider=provider,
         detector=detector,
         max_chars=max_chars,
+        batch_size=batch_size,
     )
     write_csv(result, output_path, mode="overwrite")
     return read_csv(spark, output_path, result.schema)
