@@ -68,6 +68,20 @@ def test_shared_path_follows_the_session(spark):
     assert one.startswith(f"{base}/t-") and one != two
 
 
+def test_shared_path_is_required_on_a_cluster():
+    class Context:
+        master = "spark://host"
+
+        def getConf(self):
+            return {}
+
+    class Session:
+        conf, sparkContext = {}, Context()
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        session.shared_path(Session(), "t")
+
+
 def test_process_email_content(spark, tmp_path):
     rows = [
         ("1", "a1", "s", "<p>Ik heb een vraag &amp; het werkt niet</p>", "t"),

@@ -36,7 +36,7 @@ def test_clean(spark, body, expected):
 
 
 def test_no_break_space_stays_and_vertical_tab_collapses(spark):
-    assert apply(spark, txt.clean_text, ["a b \u000bc"]) == ["a b c"]
+    assert apply(spark, txt.clean_text, ["a\u00a0b \u000bc"]) == ["a\u00a0b c"]
 
 
 def stepwise_clean(body):
@@ -50,7 +50,7 @@ def stepwise_clean(body):
 
 def random_bodies(n=2000):
     pieces = ["<b>", "</b>", "<", ">", "&nbsp;", "&amp;", "&lt;", "&gt;", "amp;", "&"]
-    pieces += [" ", "  ", "\n", "\r\n", "\t", "\f", "é", "ü", "word", "1", " ", "lt;", "😀"]
+    pieces += [" ", "  ", "\n", "\r\n", "\t", "\f", "é", "ü", "word", "1", "\u00a0", "lt;", "😀"]
     rng = random.Random(7)
     return ["".join(rng.choices(pieces, k=rng.randrange(0, 25))) for _ in range(n)]
 
@@ -64,9 +64,10 @@ def test_line_breaks_step(spark):
     assert apply(spark, txt.collapse_line_breaks, ["a\r\n\t\nb  c"]) == ["a b  c"]
 
 
-def test_blank(spark):
-    texts = [None, "", "  ", " ", "\t\n", "x", " x "]
-    assert apply(spark, txt.is_blank, texts) == [True, True, True, True, True, False, False]
+def test_blank_is_what_strip_empties(spark):
+    texts = [None, "", "  ", "\u00a0", "\t\n", "\x1c", "x", "\u00a0x ", " \nx"]
+    blank = apply(spark, txt.is_blank, texts)
+    assert blank == [not (t or "").strip() for t in texts] == [True] * 6 + [False] * 3
 
 
 def test_truncate(spark):
