@@ -1,7 +1,6 @@
 from __future__ import annotations
 
 import sys
-import tempfile
 from pathlib import Path
 
 import pytest
@@ -25,7 +24,6 @@ def spark():
             "spark.ui.showConsoleProgress": "false",
             "spark.driver.memory": "8g",
             "spark.sql.maxMetadataStringLength": "2000",
-            "spark.checkpoint.dir": tempfile.mkdtemp(prefix="run-"),
         },
     )
     session.sparkContext.setLogLevel("ERROR")

@@ -62,24 +62,26 @@ def test_cutoff_text():
     assert dates.cutoff_text(30, dt.date(2024, 5, 31)) == "2024-05-01"
 
 
-def test_shared_path_follows_the_session(spark):
-    base = spark.conf.get("spark.checkpoint.dir")
-    one, two = session.shared_path(spark, "t"), session.shared_path(spark, "t")
-    assert one.startswith(f"{base}/t-") and one != two
+class FakeContext:
+    def __init__(self, master):
+        self.master = master
 
+    def getConf(self):
+        return {}
 
-def test_shared_path_is_required_on_a_cluster():
-    class Context:
-        master = "spark://host"
 
-        def getConf(self):
-            return {}
+class FakeSession:
+    def __init__(self, master, **conf):
+        self.conf, self.sparkContext = conf, FakeContext(master)
 
-    class Session:
-        conf, sparkContext = {}, Context()
 
+def test_shared_path_is_the_one_the_session_names():
+    named = FakeSession("spark://host", **{"spark.checkpoint.dir": "s3a://bucket/shared/"})
+    one, two = session.shared_path(named, "t"), session.shared_path(named, "t")
+    assert one.startswith("s3a://bucket/shared/t-") and one != two
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        session.shared_path(Session(), "t")
+        session.shared_path(FakeSession("spark://host"), "t")
+    assert "/t-" in session.shared_path(FakeSession("local[2]"), "t")
 
 
 def test_process_email_content(spark, tmp_path):

@@ -59,3 +59,11 @@ def test_counts_read_only_the_key_columns(spark, sf_dir):
 @pytest.mark.parametrize("name", ["sample_tickets", "preview"])
 def test_limits_are_top_n(name, spark, sf_dir):
     assert "TakeOrderedAndProject" in plan(spark, sf_dir, name)
+
+
+def test_window_thins_out_the_raw_table_before_its_shuffle(spark, sf_dir, conf):
+    conf(
+        spark__sql__autoBroadcastJoinThreshold="-1",
+        spark__sql__optimizer__runtime__bloomFilter__applicationSideScanSizeThreshold="0",
+    )
+    assert "might_contain" in plan(spark, sf_dir, "support_ticket_extract")

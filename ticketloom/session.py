@@ -14,6 +14,8 @@ SPARK_DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Lets a date window on one large table thin out the other join side before its shuffle.
+    "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": "10g",
 }
 
 
