@@ -164,6 +164,19 @@ def test_expansion_splits_edges_into_resolved_and_unresolved(spark):
     assert values(out.per_ticket) == [("1", 2), ("2", 0), ("3", 0)]
 
 
+def test_copies_of_an_email_do_not_multiply_its_tickets(spark):
+    e = edges_of(spark, [("1", "x", 0), ("2", "x", 0), ("2", "x", 1)])
+    landed = emails_of(spark, [("x", "B"), ("x", "A"), ("x", "A"), ("y", None), ("y", "Y")])
+    emails = ops.one_per_id(landed)
+    assert values(emails, "id", "hs_email_subject") == [("x", "A"), ("y", None)]
+    assert emails.columns == landed.columns
+    assert values(ops.ticket_emails(e, emails), "ticket_id", "subject") == [
+        ("1", "A"),
+        ("2", "A"),
+        ("2", "A"),
+    ]
+
+
 def test_rejected_tickets_do_not_count_as_unassociated(spark):
     t = tickets_of(spark, "1", "2", "3")
     e = edges_of(spark, [("1", "a", 0)])

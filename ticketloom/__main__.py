@@ -12,7 +12,6 @@ from ticketloom.operators.tickets import preview
 from ticketloom.plans import associations, emails, extract, subjects
 from ticketloom.session import build_session
 from ticketloom.sinks.csv_files import write_csv
-from ticketloom.sources import landed
 
 
 def _provider(name: str | None):
@@ -56,7 +55,7 @@ def merge(spark, args) -> None:
 def compare(spark, args) -> None:
     tickets, read = _landed(spark, args)
     report = subjects.compare_subjects(
-        tickets, read.edges, landed.read_emails(spark, args.emails), args.sample, args.seed
+        tickets, read.edges, associations.load_emails(spark, args.emails), args.sample, args.seed
     )
     report.match_rate.show()
     for examples in (report.matches, report.mismatches):
@@ -65,7 +64,7 @@ def compare(spark, args) -> None:
 
 def expand(spark, args) -> None:
     tickets, read = _landed(spark, args)
-    found = landed.read_emails(spark, args.emails)
+    found = associations.load_emails(spark, args.emails)
     print(associations.export_ticket_emails(tickets, read.edges, found, args.output))
 
 

@@ -83,6 +83,11 @@ def null_associations(tickets: DataFrame, edges: DataFrame) -> DataFrame:
     )
 
 
+def _total_order(edges: DataFrame, order_by: Sequence[str], ties: Sequence[str]) -> list[str]:
+    """``order_by``, then ``ties``, then every other column, so that no choice is left open."""
+    return list(dict.fromkeys((*order_by, *ties, *[c for c in edges.columns if c != "ticket_id"])))
+
+
 def first_association(
     edges: DataFrame, order_by: Sequence[str] = ("pos",), ties: Sequence[str] = ("association_id",)
 ) -> DataFrame:
@@ -91,11 +96,9 @@ def first_association(
     The minimum of a struct that leads with the order columns: an aggregate, not a
     ranking, so each map task sends one row per ticket however many it holds.
     """
-    rank = list(dict.fromkeys((*order_by, *ties)))
-    rest = [c for c in edges.columns if c not in ("ticket_id", *rank)]
     return (
         edges.groupBy("ticket_id")
-        .agg(F.min(F.struct(*rank, *rest)).alias("first"))
+        .agg(F.min(F.struct(*_total_order(edges, order_by, ties))).alias("first"))
         .select(*[F.col(c) if c == "ticket_id" else F.col(f"first.{c}") for c in edges.columns])
     )
 
@@ -110,7 +113,7 @@ def associations_topk(
 
     The rank filter becomes a group limit, applied in each map task before the shuffle.
     """
-    w = Window.partitionBy("ticket_id").orderBy(*order_by, *ties)
+    w = Window.partitionBy("ticket_id").orderBy(*_total_order(edges, order_by, ties))
     return edges.withColumn("rank", F.row_number().over(w).cast("bigint")).where(F.col("rank") <= k)
 
 
@@ -120,8 +123,26 @@ def edges_of_tickets(tickets: DataFrame, edges: DataFrame) -> DataFrame:
     return edges.join(keys, F.col("ticket_id") == F.col("__ticket"), "left_semi")
 
 
+def one_per_id(df: DataFrame, key: str = "id") -> DataFrame:
+    """One row per id: of several, the least in the order of the remaining columns.
+
+    E-mails are read once per association, so an e-mail that several tickets share lands
+    several times; joined as they are, its copies would pair up with all its associations.
+    Copies are combined map-side, and a later join on the id reuses the partitioning.
+    """
+    rest = [c for c in df.columns if c != key]
+    return (
+        df.groupBy(key)
+        .agg(F.min(F.struct(*rest)).alias("__row"))
+        .select(*[F.col(c) if c == key else F.col(f"__row.{c}") for c in df.columns])
+    )
+
+
 def ticket_emails(edges: DataFrame, emails: DataFrame) -> DataFrame:
-    """Every association expanded with its e-mail; unresolvable ones are dropped."""
+    """Every association expanded with its e-mail; unresolvable ones are dropped.
+
+    ``emails`` has one row per id (see ``one_per_id``); an e-mail may have many edges.
+    """
     details = emails.select(
         F.col("id").alias("__email_id"),
         F.col("hs_email_subject").alias("subject"),

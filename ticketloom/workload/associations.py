@@ -110,7 +110,8 @@ _EDGES = """
 _TICKETS = "SELECT o_orderkey AS id, o_orderstatus, o_orderpriority, o_orderdate FROM orders"
 _RANKED = f"""
     SELECT *, row_number() OVER (
-        PARTITION BY ticket_id ORDER BY pos, part_id, association_id) AS "rank"
+        PARTITION BY ticket_id
+        ORDER BY pos, part_id, association_id, association_type, association_category) AS "rank"
     FROM ({_EDGES})
 """
 _COUNTS = f"""
@@ -119,13 +120,19 @@ _COUNTS = f"""
     WHERE ticket_id IS NOT NULL GROUP BY ticket_id
 """
 _COMPARISON = f"""
-    SELECT ticket_id, CAST(c_nationkey AS VARCHAR) AS ticket_subject,
-           CAST(s_nationkey AS VARCHAR) AS email_subject, s_name AS email_text,
-           '<p>' || s_name || '</p>' AS email_html
+    SELECT ticket_id, ticket_subject, email_subject, email_text,
+           '<p>' || email_text || '</p>' AS email_html
     FROM (SELECT * FROM ({_RANKED}) WHERE "rank" = 1)
-    JOIN orders ON o_orderkey = ticket_id
-    LEFT JOIN customer ON c_custkey = o_custkey
-    JOIN supplier ON s_suppkey = association_id
+    JOIN (SELECT o_orderkey, min(subject) AS ticket_subject
+          FROM orders LEFT JOIN (
+              SELECT c_custkey, min(CAST(c_nationkey AS VARCHAR)) AS subject
+              FROM customer GROUP BY c_custkey) ON c_custkey = o_custkey
+          GROUP BY o_orderkey) ON o_orderkey = ticket_id
+    JOIN (SELECT s_suppkey, CAST(s_nationkey AS VARCHAR) AS email_subject, s_name AS email_text
+          FROM supplier
+          QUALIFY row_number() OVER (PARTITION BY s_suppkey
+              ORDER BY CAST(s_nationkey AS VARCHAR) NULLS FIRST, s_name NULLS FIRST) = 1)
+      ON s_suppkey = association_id
 """
 _MATCH = "coalesce(ticket_subject = email_subject, false)"
 _RATE = f"""
@@ -140,6 +147,7 @@ _THREAD_EMAILS = """
     SELECT conv_id || '-' || turn AS id, 'Re: ' || conv_id AS subject, text AS content,
            CAST(turn AS VARCHAR) AS timestamp
     FROM conversations WHERE role = 'assistant'
+    QUALIFY row_number() OVER (PARTITION BY conv_id, turn ORDER BY text NULLS FIRST) = 1
 """
 _THREAD = f"""
     SELECT ticket_id, association_id, subject, content, timestamp

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ticketloom.operators.associations import one_per_id
 from ticketloom.sources.tables import read_table
 
 # The window queries end on the last day of the orders table.
@@ -38,8 +39,11 @@ def edges(spark: SparkSession, sf_dir: str) -> DataFrame:
 def subject_tickets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders with their customer's nation as the subject."""
     orders = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"), "o_custkey")
-    customers = table(spark, sf_dir, "customer").select(
-        "c_custkey", F.col("c_nationkey").cast("string").alias("subject")
+    customers = one_per_id(
+        table(spark, sf_dir, "customer").select(
+            "c_custkey", F.col("c_nationkey").cast("string").alias("subject")
+        ),
+        "c_custkey",
     )
     return orders.join(customers, F.col("o_custkey") == F.col("c_custkey"), "left").select(
         "id", "subject"
@@ -48,11 +52,13 @@ def subject_tickets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def supplier_emails(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Suppliers with their nation as the subject."""
-    return table(spark, sf_dir, "supplier").select(
-        F.col("s_suppkey").alias("id"),
-        F.col("s_nationkey").cast("string").alias("hs_email_subject"),
-        F.col("s_name").alias("hs_email_text"),
-        F.concat(F.lit("<p>"), F.col("s_name"), F.lit("</p>")).alias("hs_email_html"),
+    return one_per_id(
+        table(spark, sf_dir, "supplier").select(
+            F.col("s_suppkey").alias("id"),
+            F.col("s_nationkey").cast("string").alias("hs_email_subject"),
+            F.col("s_name").alias("hs_email_text"),
+            F.concat(F.lit("<p>"), F.col("s_name"), F.lit("</p>")).alias("hs_email_html"),
+        )
     )
 
 
@@ -71,7 +77,7 @@ def thread_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def thread_emails(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Assistant turns as e-mails."""
-    return (
+    turns = (
         table(spark, sf_dir, "conversations")
         .where(F.col("role") == "assistant")
         .select(
@@ -81,6 +87,7 @@ def thread_emails(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.col("turn").cast("string").alias("hs_timestamp"),
         )
     )
+    return one_per_id(turns)
 
 
 def bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
