@@ -170,11 +170,14 @@ def test_copies_of_an_email_do_not_multiply_its_tickets(spark):
     emails = ops.one_per_id(landed)
     assert values(emails, "id", "hs_email_subject") == [("x", "A"), ("y", None)]
     assert emails.columns == landed.columns
-    assert values(ops.ticket_emails(e, emails), "ticket_id", "subject") == [
-        ("1", "A"),
-        ("2", "A"),
-        ("2", "A"),
-    ]
+    for found in (ops.ticket_emails(e, landed), ops.ticket_emails(e, emails, unique_emails=True)):
+        assert values(found, "ticket_id", "subject") == [("1", "A"), ("2", "A"), ("2", "A")]
+    t = spark.createDataFrame([("1", "A"), ("2", "B")], "id string, subject string")
+    for few in (False, True):
+        comparison = compare.first_email_compare(t, e, landed, few_tickets=few)
+        assert values(comparison, "ticket_id", "email_subject") == [("1", "A"), ("2", "A")]
+        single = compare.first_email_compare(t, e, emails, few_tickets=few, unique_emails=True)
+        assert values(single) == values(comparison)
 
 
 def test_rejected_tickets_do_not_count_as_unassociated(spark):
@@ -295,23 +298,50 @@ def test_hot_keys_are_listed_largest_first_and_bounded(spark, monkeypatch):
     assert values(merged) == values(t.join(e, t.id == e.ticket_id, "left"))
 
 
-def test_adaptive_execution_splits_a_hot_email(spark, conf):
+def shared_email_edges(spark):
+    """Edges of which a third lead to e-mail 7."""
+    return hot_edges(spark).select(
+        F.col("association_id").alias("ticket_id"), F.col("ticket_id").alias("association_id"), "pos"
+    )
+
+
+def test_hot_email_is_joined_where_its_edges_lie(spark, conf):
     conf(
         spark__sql__autoBroadcastJoinThreshold="-1",
-        spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes="1MB",
-        spark__sql__adaptive__skewJoin__skewedPartitionFactor="2",
-        spark__sql__adaptive__advisoryPartitionSizeInBytes="1MB",
-    )
-    e = hot_edges(spark).select(
-        F.col("association_id").alias("ticket_id"), F.col("ticket_id").alias("association_id"), "pos"
+        spark__sql__adaptive__coalescePartitions__enabled="false",
+        spark__sql__shuffle__partitions="32",
     )
-    m = spark.range(0, 25_000).select(
-        F.col("id").cast("string").alias("id"),
+    e = shared_email_edges(spark)
+    copies = spark.range(0, 30_000).select(
+        (F.col("id") % 15_000).cast("string").alias("id"),
         *[F.lit("x").alias(c) for c in schemas.EMAIL.fieldNames()[1:]],
     )
-    expanded = ops.ticket_emails(e, m)
-    assert "SortMergeJoin(skew=true)" in final_plan(expanded)
-    assert expanded.count() == 400_000
+    expanded = ops.ticket_emails(e, copies, rows_per_share=10_000)
+    expected = e.where(F.col("association_id").cast("int") < 15_000)
+    per_task = expanded.groupBy(F.spark_partition_id().alias("task")).count()
+    assert per_task.agg(F.max("count")).first()[0] < 25_000
+    assert values(digest(expanded.select("ticket_id", "association_id"))) == values(
+        digest(expected.select("ticket_id", "association_id"))
+    )
+    missing = ops.unresolved_emails(e, copies, rows_per_share=10_000)
+    assert missing.count() + expanded.count() == 400_000
+    # the e-mails' bodies are shuffled once, for combining copies
+    shuffles = [
+        line for line in final_plan(expanded).splitlines() if "hashpartitioning(__email_id" in line
+    ]
+    assert ["ReusedExchange" in line for line in shuffles] == [False, True]
+
+
+@pytest.mark.parametrize("rows_per_share", [2, 1000])
+@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
+def test_many_to_one_joins_mean_the_same_with_and_without_hot_keys(spark, how, rows_per_share):
+    rows = [("7", i) for i in range(5)] + [("8", i) for i in range(4)] + [("1", 0), ("2", 0), (None, 0)]
+    many = spark.createDataFrame(rows, "k string, v int")
+    one = spark.createDataFrame([("7", "a"), ("1", "b"), ("9", "c"), (None, "d")], "id string, w string")
+    out = joins.join_many_to_one(many, one, "k", "id", how, rows_per_share)
+    expected = many.join(one, many.k == one.id, how)
+    assert out.columns == expected.columns
+    assert values(out) == values(expected)
 
 
 def test_hot_ticket_is_combined_before_the_shuffle(spark):

@@ -16,6 +16,7 @@ from ticketloom.functions.ratios import percent
 from ticketloom.operators.joins import (
     ROWS_PER_SHARE,
     distinct_keys,
+    join_many_to_one,
     left_join_to_many,
     without_match,
 )
@@ -117,17 +118,17 @@ def associations_topk(
     return edges.withColumn("rank", F.row_number().over(w).cast("bigint")).where(F.col("rank") <= k)
 
 
-def edges_of_tickets(tickets: DataFrame, edges: DataFrame) -> DataFrame:
+def edges_of_tickets(
+    tickets: DataFrame, edges: DataFrame, rows_per_share: int = ROWS_PER_SHARE
+) -> DataFrame:
     """The associations of the given tickets only."""
     keys = distinct_keys(tickets, "id").toDF("__ticket")
-    return edges.join(keys, F.col("ticket_id") == F.col("__ticket"), "left_semi")
+    return join_many_to_one(edges, keys, "ticket_id", "__ticket", "left_semi", rows_per_share)
 
 
 def one_per_id(df: DataFrame, key: str = "id") -> DataFrame:
     """One row per id: of several, the least in the order of the remaining columns.
 
-    E-mails are read once per association, so an e-mail that several tickets share lands
-    several times; joined as they are, its copies would pair up with all its associations.
     Copies are combined map-side, and a later join on the id reuses the partitioning.
     """
     rest = [c for c in df.columns if c != key]
@@ -138,10 +139,17 @@ def one_per_id(df: DataFrame, key: str = "id") -> DataFrame:
     )
 
 
-def ticket_emails(edges: DataFrame, emails: DataFrame) -> DataFrame:
+def ticket_emails(
+    edges: DataFrame,
+    emails: DataFrame,
+    unique_emails: bool = False,
+    rows_per_share: int = ROWS_PER_SHARE,
+) -> DataFrame:
     """Every association expanded with its e-mail; unresolvable ones are dropped.
 
-    ``emails`` has one row per id (see ``one_per_id``); an e-mail may have many edges.
+    An e-mail that several tickets share is read, and so landed, once for each of them;
+    its copies count once here, or they would pair up with all its associations.
+    ``unique_emails`` says that ids do not repeat and saves that step.
     """
     details = emails.select(
         F.col("id").alias("__email_id"),
@@ -149,16 +157,29 @@ def ticket_emails(edges: DataFrame, emails: DataFrame) -> DataFrame:
         F.col("hs_email_text").alias("content"),
         F.col("hs_timestamp").alias("timestamp"),
     )
-    return (
-        edges.select("ticket_id", "association_id")
-        .join(details, F.col("association_id") == F.col("__email_id"), "inner")
-        .select("ticket_id", "association_id", "subject", "content", "timestamp")
-    )
-
-
-def unresolved_emails(edges: DataFrame, emails: DataFrame) -> DataFrame:
+    if not unique_emails:
+        details = one_per_id(details, "__email_id")
+    return join_many_to_one(
+        edges.select("ticket_id", "association_id"),
+        details,
+        "association_id",
+        "__email_id",
+        rows_per_share=rows_per_share,
+    ).drop("__email_id")
+
+
+def unresolved_emails(
+    edges: DataFrame, emails: DataFrame, rows_per_share: int = ROWS_PER_SHARE
+) -> DataFrame:
     """Associations whose e-mail is missing: what ``ticket_emails`` leaves out."""
-    return without_match(edges, emails, "association_id", "id").select("ticket_id", "association_id")
+    return join_many_to_one(
+        edges.select("ticket_id", "association_id"),
+        distinct_keys(emails, "id").toDF("__email_id"),
+        "association_id",
+        "__email_id",
+        "left_anti",
+        rows_per_share,
+    )
 
 
 def emails_per_ticket(tickets: DataFrame, expanded: DataFrame) -> DataFrame:

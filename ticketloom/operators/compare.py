@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from ticketloom.functions.ratios import percent
 from ticketloom.functions.text import same_text
-from ticketloom.operators.associations import first_association
+from ticketloom.operators.associations import first_association, one_per_id
+from ticketloom.operators.joins import join_many_to_one
 
 
 def first_email_compare(
@@ -19,39 +20,47 @@ def first_email_compare(
     order_by: Sequence[str] = ("pos",),
     ties: Sequence[str] = ("association_id",),
     few_tickets: bool = False,
+    unique_emails: bool = False,
 ) -> DataFrame:
     """Ticket -> first association -> e-mail; tickets lacking either give no row.
 
-    A ticket id that occurs more than once is looked up once, as a point lookup would.
-    The edges shrink to one row per ticket before they meet the tickets; with
-    ``few_tickets`` they are first filtered by joining them.
+    Ids are looked up: a ticket or e-mail id that occurs more than once counts once, with
+    the least of its values (``unique_emails`` says that e-mail ids do not repeat). The
+    edges shrink to one row per ticket before they meet anything else.
+
+    ``few_tickets`` promises tickets that fit into a broadcast: then edges and e-mails are
+    filtered by them where they lie instead of being shuffled.
     """
-    rank = list(dict.fromkeys((*order_by, *ties)))
-    lookups = edges.select("ticket_id", *dict.fromkeys(("association_id", *rank)))
+    rank = list(dict.fromkeys((*order_by, *ties, "association_id")))
+    lookups = edges.select("ticket_id", *rank)
     subject = F.min("subject").alias("ticket_subject")
-    if few_tickets:
-        wanted = tickets.select("id", "subject")
-        first = (
-            lookups.join(wanted, F.col("ticket_id") == F.col("id"), "inner")
-            .groupBy("ticket_id")
-            .agg(F.min(F.struct(*dict.fromkeys((*rank, "association_id")))).alias("first"), subject)
-            .select("ticket_id", "ticket_subject", "first.association_id")
-        )
-    else:
-        first = first_association(lookups, order_by, ties).join(
-            tickets.groupBy("id").agg(subject), F.col("ticket_id") == F.col("id"), "inner"
-        )
     details = emails.select(
         F.col("id").alias("__email_id"),
         F.col("hs_email_subject").alias("email_subject"),
         F.col("hs_email_text").alias("email_text"),
         F.col("hs_email_html").alias("email_html"),
     )
-    return (
-        first.select("ticket_id", "association_id", "ticket_subject")
-        .join(details, F.col("association_id") == F.col("__email_id"), "inner")
-        .select("ticket_id", "ticket_subject", "email_subject", "email_text", "email_html")
+    columns = ["ticket_id", "ticket_subject", "email_subject", "email_text", "email_html"]
+    if not few_tickets:
+        if not unique_emails:
+            details = one_per_id(details, "__email_id")
+        first = first_association(lookups, order_by, ties).select("ticket_id", "association_id")
+        found = join_many_to_one(first, details, "association_id", "__email_id")
+        subjects = tickets.groupBy("id").agg(subject)
+        return found.join(subjects, F.col("ticket_id") == F.col("id"), "inner").select(*columns)
+
+    wanted = F.broadcast(tickets.select("id", "subject"))
+    first = (
+        lookups.join(wanted, F.col("ticket_id") == F.col("id"), "inner")
+        .groupBy("ticket_id")
+        .agg(F.min(F.struct(*rank)).alias("first"), subject)
+        .select("ticket_id", "ticket_subject", "first.association_id")
     )
+    same_email = F.col("association_id") == F.col("__email_id")
+    found = details.join(F.broadcast(first), same_email, "inner")
+    if not unique_emails:
+        found = one_per_id(found.select(*columns), "ticket_id")
+    return found.select(*columns)
 
 
 def _matches():

@@ -43,6 +43,35 @@ def hot_keys(df: DataFrame, key: str, rows_per_share: int) -> DataFrame:
     )
 
 
+def _deal(many: DataFrame, key: str, hot: DataFrame) -> DataFrame:
+    """Give each row a share: 0, or for a hot key one of the key's shares.
+
+    Shares follow from the row's content, and from the number of the task that reads it so
+    that copies of one and the same row are spread as well.
+    """
+    row = [f.name for f in many.schema if "map<" not in f.dataType.simpleString()]
+    share = F.pmod(F.xxhash64(*row, F.spark_partition_id()), F.col(_SHARES)).cast("int")
+    return (
+        many.join(hot, F.col(key) == F.col(_HOT_KEY), "left")
+        .withColumn("__dealt_share", F.coalesce(share, F.lit(0)))
+        .drop(_HOT_KEY, _SHARES)
+    )
+
+
+def _repeat(one: DataFrame, key: str, hot: DataFrame) -> DataFrame:
+    """Repeat the row of a hot key once per share; other rows occur once, with share 0."""
+    shares = F.sequence(F.lit(0), F.coalesce(F.col(_SHARES) - 1, F.lit(0)))
+    return one.join(hot, F.col(key) == F.col(_HOT_KEY), "left").withColumn(
+        "__share", F.explode(shares)
+    )
+
+
+def _check_columns(left: DataFrame, right: DataFrame) -> None:
+    shared = set(left.columns) & set(right.columns)
+    if shared:
+        raise ValueError(f"columns on both sides of the join: {sorted(shared)}")
+
+
 def left_join_to_many(
     left: DataFrame,
     right: DataFrame,
@@ -58,29 +87,47 @@ def left_join_to_many(
     A hot key has right rows by definition, so a repeated left row that found its share
     empty is dropped; any other left row occurs once and keeps the outer join's meaning.
     """
-    shared = set(left.columns) & set(right.columns)
-    if shared:
-        raise ValueError(f"columns on both sides of the join: {sorted(shared)}")
+    _check_columns(left, right)
     hot = F.broadcast(hot_keys(right, right_key, rows_per_share))
-    # The task number spreads copies of one and the same row as well.
-    row = [f.name for f in right.schema if "map<" not in f.dataType.simpleString()]
-    dealt = F.pmod(F.xxhash64(*row, F.spark_partition_id()), F.col(_SHARES)).cast("int")
-    many = (
-        right.join(hot, F.col(right_key) == F.col(_HOT_KEY), "left")
-        .withColumn("__right_share", F.coalesce(dealt, F.lit(0)))
-        .drop(_HOT_KEY, _SHARES)
-    )
-    repeated = F.sequence(F.lit(0), F.coalesce(F.col(_SHARES) - 1, F.lit(0)))
-    one = left.join(hot, F.col(left_key) == F.col(_HOT_KEY), "left").withColumn(
-        "__left_share", F.explode(repeated)
-    )
+    same_key = F.col(left_key) == F.col(right_key)
     return (
-        one.join(
-            many,
-            (F.col(left_key) == F.col(right_key))
-            & (F.col("__left_share") == F.col("__right_share")),
+        _repeat(left, left_key, hot)
+        .join(
+            _deal(right, right_key, hot),
+            same_key & (F.col("__share") == F.col("__dealt_share")),
             "left",
         )
         .where(F.col(_SHARES).isNull() | F.col(right_key).isNotNull())
         .select(*left.columns, *right.columns)
     )
+
+
+def join_many_to_one(
+    many: DataFrame,
+    one: DataFrame,
+    many_key: str,
+    one_key: str,
+    how: str = "inner",
+    rows_per_share: int = ROWS_PER_SHARE,
+) -> DataFrame:
+    """Inner, left, semi or anti join of ``many``, in which one key may hold a huge share,
+    with ``one``, which has a row per key.
+
+    Adaptive execution splits a skewed partition only where both join sides come straight
+    from a shuffle, which an aggregated ``one`` does not. So the rows of the hot keys meet
+    those keys' rows of ``one`` (as few as there are hot keys) in a broadcast join, where
+    they lie; the others are joined as usual and ``one`` keeps its partitioning. Without
+    hot keys adaptive execution removes the first branch.
+    """
+    _check_columns(many, one)
+    hot = F.broadcast(hot_keys(many, many_key, rows_per_share).select(_HOT_KEY))
+    same_key = F.col(many_key) == F.col(one_key)
+    is_hot = F.col(many_key) == F.col(_HOT_KEY)
+    # An inner join, because a semi join would be moved below an aggregation in ``one``
+    # and have its input read a second time.
+    hot_one = one.join(hot, F.col(one_key) == F.col(_HOT_KEY), "inner").drop(_HOT_KEY)
+    return (
+        many.join(hot, is_hot, "left_semi")
+        .join(F.broadcast(hot_one), same_key, how)
+        .unionByName(many.join(hot, is_hot, "left_anti").join(one, same_key, how))
+    )

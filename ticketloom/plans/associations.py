@@ -43,11 +43,6 @@ def load_associations(spark: SparkSession, path: str) -> Associations:
     )
 
 
-def load_emails(spark: SparkSession, path: str) -> DataFrame:
-    """The landed e-mails, each once however often it was read."""
-    return assoc.one_per_id(landed.read_emails(spark, path))
-
-
 class NullAnalysis(NamedTuple):
     nulls: DataFrame
     counts: DataFrame

@@ -11,6 +11,10 @@ from ticketloom.operators import compare
 from ticketloom.operators.tickets import sample_tickets
 
 
+# Up to this many sampled tickets are broadcast.
+FEW_TICKETS = 10_000
+
+
 class SubjectReport(NamedTuple):
     comparison: DataFrame
     match_rate: DataFrame
@@ -26,16 +30,22 @@ def compare_subjects(
     seed: str = "0",
     order_by: Sequence[str] = ("pos",),
     ties: Sequence[str] = ("association_id",),
+    unique_emails: bool = False,
 ) -> SubjectReport:
     """Compare ``sample`` tickets (``None``: all of them) with their first e-mails.
 
-    The sample is a limited relation, so the planner knows its size and broadcasts it when
-    it is small; the edges are cut down to it before they are grouped.
+    A small sample is broadcast: edges and e-mails are filtered by it where they lie.
     """
     if sample is not None:
         tickets = sample_tickets(tickets.select("id", "subject"), sample, seed)
     comparison = compare.first_email_compare(
-        tickets, edges, emails, order_by, ties, few_tickets=sample is not None
+        tickets,
+        edges,
+        emails,
+        order_by,
+        ties,
+        few_tickets=sample is not None and sample <= FEW_TICKETS,
+        unique_emails=unique_emails,
     )
     return SubjectReport(
         comparison,

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ticketloom.operators.associations import one_per_id
+from ticketloom.operators.joins import join_many_to_one
 from ticketloom.sources.tables import read_table
 
 # The window queries end on the last day of the orders table.
@@ -45,20 +46,18 @@ def subject_tickets(spark: SparkSession, sf_dir: str) -> DataFrame:
         ),
         "c_custkey",
     )
-    return orders.join(customers, F.col("o_custkey") == F.col("c_custkey"), "left").select(
+    return join_many_to_one(orders, customers, "o_custkey", "c_custkey", "left").select(
         "id", "subject"
     )
 
 
 def supplier_emails(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Suppliers with their nation as the subject."""
-    return one_per_id(
-        table(spark, sf_dir, "supplier").select(
-            F.col("s_suppkey").alias("id"),
-            F.col("s_nationkey").cast("string").alias("hs_email_subject"),
-            F.col("s_name").alias("hs_email_text"),
-            F.concat(F.lit("<p>"), F.col("s_name"), F.lit("</p>")).alias("hs_email_html"),
-        )
+    return table(spark, sf_dir, "supplier").select(
+        F.col("s_suppkey").alias("id"),
+        F.col("s_nationkey").cast("string").alias("hs_email_subject"),
+        F.col("s_name").alias("hs_email_text"),
+        F.concat(F.lit("<p>"), F.col("s_name"), F.lit("</p>")).alias("hs_email_html"),
     )
 
 
@@ -77,7 +76,7 @@ def thread_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def thread_emails(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Assistant turns as e-mails."""
-    turns = (
+    return (
         table(spark, sf_dir, "conversations")
         .where(F.col("role") == "assistant")
         .select(
@@ -87,7 +86,6 @@ def thread_emails(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.col("turn").cast("string").alias("hs_timestamp"),
         )
     )
-    return one_per_id(turns)
 
 
 def bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
