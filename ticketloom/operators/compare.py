@@ -45,9 +45,10 @@ def first_email_compare(
         if not unique_emails:
             details = one_per_id(details, "__email_id")
         first = first_association(lookups, order_by, ties).select("ticket_id", "association_id")
-        found = join_many_to_one(first, details, "association_id", "__email_id")
         subjects = tickets.groupBy("id").agg(subject)
-        return found.join(subjects, F.col("ticket_id") == F.col("id"), "inner").select(*columns)
+        titled = first.join(subjects, F.col("ticket_id") == F.col("id"), "inner").drop("id")
+        found = join_many_to_one(titled, details, "association_id", "__email_id", counted=first)
+        return found.select(*columns)
 
     wanted = F.broadcast(tickets.select("id", "subject"))
     first = (

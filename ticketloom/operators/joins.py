@@ -109,6 +109,7 @@ def join_many_to_one(
     one_key: str,
     how: str = "inner",
     rows_per_share: int = ROWS_PER_SHARE,
+    counted: DataFrame | None = None,
 ) -> DataFrame:
     """Inner, left, semi or anti join of ``many``, in which one key may hold a huge share,
     with ``one``, which has a row per key.
@@ -117,10 +118,12 @@ def join_many_to_one(
     from a shuffle, which an aggregated ``one`` does not. So the rows of the hot keys meet
     those keys' rows of ``one`` (as few as there are hot keys) in a broadcast join, where
     they lie; the others are joined as usual and ``one`` keeps its partitioning. Without
-    hot keys adaptive execution removes the first branch.
+    hot keys adaptive execution removes the first branch. ``counted`` is where hot keys are
+    looked for, if something with ``many``'s keys is cheaper to read than ``many``.
     """
     _check_columns(many, one)
-    hot = F.broadcast(hot_keys(many, many_key, rows_per_share).select(_HOT_KEY))
+    counted = many if counted is None else counted
+    hot = F.broadcast(hot_keys(counted, many_key, rows_per_share).select(_HOT_KEY))
     same_key = F.col(many_key) == F.col(one_key)
     is_hot = F.col(many_key) == F.col(_HOT_KEY)
     # An inner join, because a semi join would be moved below an aggregation in ``one``
