@@ -152,7 +152,8 @@ QUERIES = {
     "association_edges": (
         association_edges,
         f"""
-        SELECT a.* FROM ({_ASSOCIATION_ROWS.replace("FROM lineitem", "FROM lineitem WHERE l_returnflag <> 'R'")}) a
+        WITH listed AS (SELECT * FROM lineitem WHERE l_returnflag <> 'R')
+        SELECT a.* FROM ({_ASSOCIATION_ROWS.replace("FROM lineitem", "FROM listed")}) a
         """,
     ),
     "first_of_response": (
