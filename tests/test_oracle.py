@@ -6,9 +6,10 @@ import pytest
 
 import __spark_entry__ as entry_points
 from oracle import duck, duck_rows, spark_rows
+from ticketloom.workload import registry
 
-QUERIES = entry_points.queries()
-SQL = entry_points.oracle_sql()
+QUERIES = {name: query for name, (query, _) in registry().items()}
+SQL = {name: sql for name, (_, sql) in registry().items() if sql is not None}
 
 
 @pytest.fixture(scope="module")

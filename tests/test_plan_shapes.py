@@ -6,9 +6,9 @@ import re
 
 import pytest
 
-import __spark_entry__ as entry_points
+from ticketloom.workload import registry
 
-QUERIES = entry_points.queries()
+QUERIES = {name: query for name, (query, _) in registry().items()}
 
 
 def plan(spark, sf_dir, name) -> str:
