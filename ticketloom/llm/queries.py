@@ -4,16 +4,32 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from ticketloom.llm import neardup
+from ticketloom.llm import neardup, packing, quality
 from ticketloom.llm.shared import table
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 WORDS_SQL = r"'[^\x20\x09-\x0D]+'"
 
 
+TOKENIZER = {
+    "tokenizer_path": public_tokenizers.path("byte_bpe_50k.json"),
+    "ranks_path": public_tokenizers.path("byte_bpe_50k.tiktoken"),
+    "pattern": public_tokenizers.PATTERN,
+}
+
+
+def quality_perplexity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = quality.quality_rules(table(spark, sf_dir, "documents"), carried=["doc_id"])
+    return found.select("row.doc_id", *[c for c in found.columns if c != "row"])
+
+
+def best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.best_fit_packing(table(spark, sf_dir, "documents"), **TOKENIZER)
+
+
 def minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = neardup.near_duplicates(table(spark, sf_dir, "documents"), width=2, percent=80)
     return found.withColumnRenamed("id", "doc_id")
@@ -46,5 +62,7 @@ FROM reached r LEFT JOIN sizes s ON s.doc_id = r.doc_id GROUP BY r.doc_id
 """
 
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
+    "op2_quality_perplexity": (quality_perplexity, None),
+    "op7_best_fit_packing": (best_fit_packing, None),
     "op8_minhash_near_dedup": (minhash_near_dedup, MINHASH_SQL),
 }

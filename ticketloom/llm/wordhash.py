@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -45,16 +46,24 @@ def _power_tables(n: int) -> list[np.ndarray]:
     return _powers
 
 
-def run_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A hash of ``values[start:end]`` for each run, by content alone."""
-    power, inverse = _power_tables(len(values) + 1)
+def _totals(values: np.ndarray) -> np.ndarray:
     total = np.empty(len(values) + 1, np.uint64)
     total[0] = 0
-    np.cumsum(values * power[: len(values)], out=total[1:])
+    np.cumsum(values * _power_tables(len(values) + 1)[0][: len(values)], out=total[1:])
+    return total
+
+
+def _runs(total: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    inverse = _power_tables(len(total))[1]
     length = (ends - starts).astype(np.uint64)
     return mixed((total[ends] - total[starts]) * inverse[starts] + length * _BASE)
 
 
+def run_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A hash of ``values[start:end]`` for each run, by content alone."""
+    return _runs(_totals(values), starts, ends)
+
+
 @dataclass
 class Words:
     """``data``: the bytes; word ``w`` is ``data[starts[w]:ends[w]]``; row ``r`` has words
@@ -67,8 +76,21 @@ class Words:
     first: np.ndarray
 
     def hashes(self, lower: bool = False) -> np.ndarray:
-        data = LOWER[self.data] if lower else self.data
-        return run_hashes(_BYTE[data], self.starts, self.ends)
+        if lower:
+            return run_hashes(_BYTE[LOWER[self.data]], self.starts, self.ends)
+        return self.byte_runs(self.starts, self.ends)
+
+    def byte_runs(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """A hash of the bytes of each run."""
+        return _runs(self._byte_totals, starts, ends)
+
+    @cached_property
+    def _byte_totals(self) -> np.ndarray:
+        return _totals(_BYTE[self.data])
+
+    def rows(self) -> np.ndarray:
+        """The row of each word."""
+        return np.repeat(np.arange(len(self.first) - 1), np.diff(self.first))
 
 
 def text_bytes(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
