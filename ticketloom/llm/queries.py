@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ticketloom.llm import neardup, packing, quality
+from ticketloom.llm import line_dedup, neardup, packing, quality
 from ticketloom.llm.shared import table
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -21,6 +21,11 @@ TOKENIZER = {
 }
 
 
+def line_dedup_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = line_dedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "n_lines", "n_dropped", "text")
+
+
 def quality_perplexity(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = quality.quality_rules(table(spark, sf_dir, "documents"), carried=["doc_id"])
     return found.select("row.doc_id", *[c for c in found.columns if c != "row"])
@@ -62,6 +67,7 @@ FROM reached r LEFT JOIN sizes s ON s.doc_id = r.doc_id GROUP BY r.doc_id
 """
 
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
+    "op1_line_dedup": (line_dedup_minhash, None),
     "op2_quality_perplexity": (quality_perplexity, None),
     "op7_best_fit_packing": (best_fit_packing, None),
     "op8_minhash_near_dedup": (minhash_near_dedup, MINHASH_SQL),
