@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ticketloom.llm import line_dedup, neardup, packing, quality
+from ticketloom.llm import decontaminate, line_dedup, neardup, packing, quality
 from ticketloom.llm.shared import table
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -31,6 +31,13 @@ def quality_perplexity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("row.doc_id", *[c for c in found.columns if c != "row"])
 
 
+def decontaminate_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.contaminated(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    )
+    return found.drop("text_print")
+
+
 def best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.best_fit_packing(table(spark, sf_dir, "documents"), **TOKENIZER)
 
@@ -69,6 +76,7 @@ FROM reached r LEFT JOIN sizes s ON s.doc_id = r.doc_id GROUP BY r.doc_id
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
     "op1_line_dedup": (line_dedup_minhash, None),
     "op2_quality_perplexity": (quality_perplexity, None),
+    "op3_decontaminate_simhash": (decontaminate_simhash, None),
     "op7_best_fit_packing": (best_fit_packing, None),
     "op8_minhash_near_dedup": (minhash_near_dedup, MINHASH_SQL),
 }
