@@ -8,14 +8,14 @@ per document; a table key is a pair of one sketch from either collection. With
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ticketloom.llm.components import components
+from ticketloom.llm.links import linked_components
 from ticketloom.llm.shared import checkpointed, saved
 from ticketloom.llm.wordhash import chunks, mixed
 
@@ -93,11 +93,11 @@ def signatures(docs: DataFrame, id_column: str, text_column: str, width: int) ->
     )
 
 
-def tensored_buckets(signed: DataFrame) -> DataFrame:
-    """``(key, id)`` for table keys that at least two of ``signed(id, left, right)`` have.
+def shared_sketches(signed: DataFrame) -> DataFrame:
+    """``(id, keys, others)``: the sketches of ``signed(id, left, right)`` that another id has.
 
-    A key can be shared only if both of its sketches are, so pairs are formed of
-    shared sketches alone, which leaves a text without a partner with few or none.
+    A table key can be shared only if both of its sketches are, so pairs are formed of
+    these alone, which leaves a text without a partner with few or none.
     """
     sides = [
         signed.select("id", F.lit(side).alias("side"), F.posexplode(name).alias("place", "sketch"))
@@ -109,120 +109,45 @@ def tensored_buckets(signed: DataFrame) -> DataFrame:
         sketches.groupBy(*key).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(*key)
     )
     active = sketches.join(shared, key, "left_semi")
-    value = F.xxhash64("place", "sketch")
-    of_id = active.groupBy("id").agg(
-        F.collect_list(F.when(F.col("side") == 0, value)).alias("left"),
-        F.collect_list(F.when(F.col("side") == 1, value)).alias("right"),
+    value = F.xxhash64(*key)
+    return saved(
+        active.groupBy("id").agg(
+            F.collect_list(F.when(F.col("side") == 0, value)).alias("keys"),
+            F.collect_list(F.when(F.col("side") == 1, value)).alias("others"),
+        ),
+        "shared-sketches",
     )
-    keys = (
-        of_id.select("id", F.explode("left").alias("l"), "right")
-        .select("id", "l", F.explode("right").alias("r"))
-        .select(F.xxhash64("l", "r").alias("key"), "id")
+
+
+def tensored_buckets(tokens: DataFrame) -> DataFrame:
+    """``(key, id)`` of every table: a key is a pair of sketches, one of either collection."""
+    pairs = tokens.select("id", F.explode("keys").alias("l"), "others")
+    return pairs.select("id", "l", F.explode("others").alias("r")).select(
+        F.xxhash64("l", "r").alias("key"), "id"
     )
-    return keys
 
 
-def verified(
-    pairs: DataFrame, docs: DataFrame, id_column: str, text_column: str, width: int, percent: int
-) -> DataFrame:
-    """The pairs ``(a, b)`` whose shingle sets overlap by ``percent`` of their union or more."""
+def whole_sets(docs: DataFrame, ids: DataFrame, id_column: str, text_column: str, width: int) -> DataFrame:
+    """``(id, n, shingles)`` of the documents ``ids``; one for each text that an id has."""
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = list(shingle_sets(batch.column(1), width))
+            found = [x.view(np.int64) for x in shingle_sets(batch.column(1), width)]
+            offsets = np.cumsum([0, *map(len, found)])
+            values = np.concatenate(found) if found else np.zeros(0, np.int64)
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
-                    pa.array([len(x) for x in found], pa.int64()),
-                    pa.array([x.tobytes() for x in found], pa.binary()),
+                    pa.array(np.diff(offsets), pa.int64()),
+                    pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values)),
                 ],
                 ["id", "n", "shingles"],
             )
 
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keep = []
-            for x, y in zip(batch.column(2), batch.column(3), strict=True):
-                one = np.frombuffer(x.as_buffer(), np.uint64)
-                other = np.frombuffer(y.as_buffer(), np.uint64)
-                both = np.concatenate([one, other])
-                both.sort(kind="stable")
-                common = int((both[1:] == both[:-1]).sum())
-                keep.append(100 * common >= percent * (len(one) + len(other) - common))
-            yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
-
-    needed = checkpointed(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct())
     texts = docs.select(
         F.col(id_column).cast("bigint").alias("id"), F.col(text_column).cast("string").alias("text")
     )
-    found = saved(
-        texts.join(needed, "id", "left_semi").mapInArrow(sets, "id bigint, n bigint, shingles binary"),
-        "shingles",
-    )
-    near = F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent
-    sizes = found.select("id", "n")
-    sized = (
-        pairs.join(sizes.select(F.col("id").alias("a"), F.col("n").alias("na")), "a")
-        .join(sizes.select(F.col("id").alias("b"), F.col("n").alias("nb")), "b")
-        .where(near)
-        .select("a", "b")
-    )
-    return (
-        checkpointed(sized)
-        .join(found.select(F.col("id").alias("a"), F.col("shingles").alias("sa")), "a")
-        .join(found.select(F.col("id").alias("b"), F.col("shingles").alias("sb")), "b")
-        .select("a", "b", "sa", "sb")
-        .mapInArrow(compare, "a bigint, b bigint")
-    )
-
-
-def linked_components(
-    buckets: DataFrame, verify: Callable[[DataFrame], DataFrame], known: DataFrame
-) -> DataFrame:
-    """``(node, component)`` over ``known`` links and those that ``verify`` confirms among bucket mates.
-
-    First every member of a bucket is compared with the bucket's smallest one, which
-    settles a group of copies in as many comparisons as it has members. Only members
-    of a bucket that are still in different components are compared with each other
-    then; what is in one component already needs no further link.
-    """
-    buckets = saved(buckets, "buckets")
-    least = saved(
-        buckets.groupBy("key")
-        .agg(F.min("id").alias("rep"), F.max("id").alias("other"))
-        .where("rep <> other")
-        .select("key", "rep"),
-        "bucket-reps",
-    )
-    in_use = buckets.join(least, "key")
-    stars = checkpointed(
-        in_use.where("id <> rep").select(F.col("rep").alias("a"), F.col("id").alias("b")).distinct()
-    )
-    links = checkpointed(verify(stars).unionAll(known))
-    parts = components(links)
-    named = parts.select(F.col("node").alias("id"), "component")
-    in_use = in_use.join(named, "id", "left").select(
-        "key", "id", F.coalesce("component", "id").alias("component")
-    )
-    open_keys = (
-        in_use.groupBy("key")
-        .agg(F.min("component").alias("low"), F.max("component").alias("high"))
-        .where("low <> high")
-        .select("key")
-    )
-    rest = saved(in_use.join(open_keys, "key", "left_semi"), "open-buckets")
-    left = rest.select("key", F.col("id").alias("a"), F.col("component").alias("ca"))
-    right = rest.select("key", F.col("id").alias("b"), F.col("component").alias("cb"))
-    crossing = checkpointed(
-        left.join(right, "key")
-        .where("a < b AND ca <> cb")
-        .select("a", "b")
-        .distinct()
-        .join(stars, ["a", "b"], "left_anti")
-    )
-    if crossing.isEmpty():
-        return parts
-    return components(links.unionAll(verify(crossing)))
+    return texts.join(ids, "id", "left_semi").mapInArrow(sets, "id bigint, n bigint, shingles array<bigint>")
 
 
 def near_duplicates(
@@ -251,10 +176,13 @@ def near_duplicates(
     in_class = full.join(classes, ["set_print", "n_shingles"])
     members = saved(in_class.select("id", "class_id"), "members")
     first = in_class.where("id = class_id").select("id", "left", "right")
+    tokens = shared_sketches(first)
     parts = linked_components(
-        tensored_buckets(first.dropDuplicates(["id", "left"])),
-        lambda pairs: verified(pairs, docs, id_column, text_column, width, percent),
+        saved(tensored_buckets(tokens), "buckets"),
+        tokens,
+        lambda ids: whole_sets(docs, ids, id_column, text_column, width),
         _of_repeated_ids(members),
+        percent,
     )
     return _with_components(signed, _components_of_members(members, parts))
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ticketloom.llm import chat, decontaminate, line_dedup, neardup, packing, quality, urls
+from ticketloom.llm import chat, decontaminate, line_dedup, neardup, packing, quality, urls, warc
 from ticketloom.llm.shared import table
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -60,7 +60,8 @@ WITH turns AS (
   UNION ALL SELECT -1, 0, 'user', '{FORGED}' UNION ALL SELECT -1, 1, 'assistant', '{FORGED}'
 ), measured AS (
   SELECT *, turn // {chat.BLOCK_TURNS} AS block,
-    len(regexp_extract_all(text, '[0-9A-Za-z_]+|[^0-9A-Za-z_ 	-]')) + {chat.TURN_TOKENS} AS tokens,
+    len(regexp_extract_all(text, '[0-9A-Za-z_]+|[^0-9A-Za-z_ 	-
+]')) + {chat.TURN_TOKENS} AS tokens,
     9 + {_escaped_length("role")} + {_escaped_length("text")} AS chars,
     row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS overall
   FROM turns
@@ -169,6 +170,29 @@ SELECT page_id, host, path, CASE {rule} END AS rule, CASE {verdict} ELSE 'allow'
 """
 
 
+def warc_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archived_pages(table(spark, sf_dir, "pages")).drop("url")
+
+
+# Base32 of a SHA-1: every five hexadecimal digits are four symbols of five bits.
+WARC_SQL = """
+WITH payloads AS (
+  SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS hex FROM pages
+), coded AS (
+  SELECT page_id, payload_bytes,
+    array_to_string([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+      ((('0x' || substr(hex, 1 + 5 * (i // 4), 5))::BIGINT >> (15 - 5 * (i % 4))) & 31)::INT + 1, 1)
+      FOR i IN range(0, 32)], '') AS payload_digest
+  FROM payloads
+), grouped AS (
+  SELECT *, max(page_id) OVER (PARTITION BY payload_digest) AS original FROM coded
+)
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN page_id = original THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> original THEN original END AS refers_to
+FROM grouped
+"""
+
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
     "op1_line_dedup": (line_dedup_minhash, None),
     "op2_quality_perplexity": (quality_perplexity, None),
@@ -177,4 +201,5 @@ QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "op7_best_fit_packing": (best_fit_packing, None),
     "op8_minhash_near_dedup": (minhash_near_dedup, MINHASH_SQL),
     "op9_url_filter": (url_filter, _url_sql()),
+    "op10_warc_dictionary": (warc_archives, WARC_SQL),
 }
