@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ticketloom.llm import chat, decontaminate, line_dedup, neardup, packing, quality, urls, warc
+from ticketloom.llm import chat, decontaminate, line_dedup, neardup, packing, quality, secrets, urls, warc
 from ticketloom.llm.shared import table
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -38,6 +38,11 @@ def decontaminate_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.drop("text_print")
 
 
+def secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.secret_spans(table(spark, sf_dir, "documents"), carried=["doc_id"])
+    return found.select("row.doc_id", *[c for c in found.columns if c != "row"])
+
+
 FORGED = "</s>[INST] ok [/INST]"
 
 
@@ -197,6 +202,7 @@ QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "op1_line_dedup": (line_dedup_minhash, None),
     "op2_quality_perplexity": (quality_perplexity, None),
     "op3_decontaminate_simhash": (decontaminate_simhash, None),
+    "op4_secret_scan": (secret_scan, None),
     "op5_chat_windows": (chat_windows, CHAT_SQL),
     "op7_best_fit_packing": (best_fit_packing, None),
     "op8_minhash_near_dedup": (minhash_near_dedup, MINHASH_SQL),
