@@ -27,7 +27,8 @@ from ticketloom.llm.shared import saved
 CAPACITY = 1024
 END_ID = 2
 GROUP = 1 << 15  # pieces packed together; each group may cost a part of one sequence
-NODES = GROUP  # fillings tried in one group before the incumbent is taken
+WORST = 48  # sequences that are packed anew at a time, those that waste most
+NODES = 4000  # fillings tried in one search before the incumbent is taken
 
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
 
@@ -190,8 +191,28 @@ def fillings(counts: np.ndarray, room: int, width: int = 8) -> list[tuple[int, .
     return (kept or [chosen for _, chosen in unique] or [()])[:width]
 
 
-def complete_bins(counts: np.ndarray, nodes: int = NODES) -> list[list[int]]:
-    """The lengths of each sequence: the fewest sequences found within ``nodes`` fillings."""
+def complete_bins(counts: np.ndarray) -> list[list[int]]:
+    """The lengths of each sequence.
+
+    Best fit fills most sequences without waste. Those that waste most are packed anew
+    by bin completion, at least ``WORST`` and as many as waste a whole sequence
+    together, until the lower bound is met or that saves none.
+    """
+    best = sorted(best_fit(counts), key=sum)
+    bound = lower_bound(counts)
+    while len(best) > bound:
+        wasted = np.cumsum([CAPACITY - sum(b) for b in best])
+        n = min(len(best), max(WORST, int(np.searchsorted(wasted, CAPACITY)) + 1))
+        worst = np.bincount([x for b in best[:n] for x in b], minlength=CAPACITY + 1)
+        packed = search(worst)
+        if len(packed) >= n:
+            break
+        best = sorted(packed + best[n:], key=sum)
+    return best
+
+
+def search(counts: np.ndarray, nodes: int = NODES) -> list[list[int]]:
+    """Branch and bound over the fillings around the largest piece left."""
     counts = counts.astype(np.int64)
     best = best_fit(counts)
     bound = lower_bound(counts)
