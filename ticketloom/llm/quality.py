@@ -438,8 +438,9 @@ def quality_rules(
         | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words")),
     )
     bands = F.broadcast(checkpointed(perplexity_bands(scored)))  # one row a language
-    mean = F.col("surprise") / F.when(F.col("n_scored") > 0, F.col("n_scored"))
-    slack = ERRORS * F.col("deviation") / F.sqrt(F.col("n_scored"))
+    n_scored = F.when(F.col("n_scored") > 0, F.col("n_scored"))
+    mean = F.col("surprise") / n_scored
+    slack = ERRORS * F.col("deviation") / F.sqrt(n_scored)
     inside = (mean >= F.col("low") - slack) & (mean <= F.col("high") + slack)
     return scored.join(bands, "language", "left").select(
         "row",
