@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ticketloom.llm.shared import saved
-from ticketloom.llm.wordhash import text_bytes
+from ticketloom.llm.wordhash import blocks, text_bytes
 
 # The patterns and the least lengths of their matches.
 KINDS = ("assign", "access", "hex")
@@ -90,6 +90,23 @@ def inside_token(token: str, begin: int) -> Iterator[tuple[int, int, int, str]]:
                 yield kind, begin + m.start(), begin + m.end(), m[0]
 
 
+def scan_rows(data: np.ndarray, bounds: np.ndarray) -> Iterator[tuple[list, list]]:
+    """Of each row the pattern spans, in order, and the tokens that overlap none of them."""
+    begins, ends = token_runs(data, bounds)
+    place = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])
+    first = np.searchsorted(begins, bounds)
+    for r in range(len(bounds) - 1):
+        found = list(assigned(data[bounds[r] : bounds[r + 1]].tobytes().decode()))
+        own = []
+        for b, e in zip(begins[first[r] : first[r + 1]], ends[first[r] : first[r + 1]], strict=True):
+            at = int(place[b] - place[bounds[r]])
+            token = data[b:e].tobytes().decode()
+            found += inside_token(token, at)
+            own.append((at, at + len(token), token))
+        found.sort(key=lambda s: (s[1], s[0]))
+        yield found, [t for t in own if not any(s[1] < t[1] and t[0] < s[2] for s in found)]
+
+
 def scanned(docs: DataFrame, carried: list[str], text_column: str) -> DataFrame:
     """``row``, ``spans`` of the patterns and the other ``tokens`` of each whole text, in code points."""
     used = list(dict.fromkeys([*carried, text_column]))
@@ -99,30 +116,14 @@ def scanned(docs: DataFrame, carried: list[str], text_column: str) -> DataFrame:
         for batch in batches:
             rows = batch.column(0)
             column = rows.field(rows.type.get_field_index(text_column)).cast(pa.string())
-            data, bounds = text_bytes(column)
-            begins, ends = token_runs(data, bounds)
-            place = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])
-            owner = np.searchsorted(bounds, begins, side="right") - 1
-            first = np.searchsorted(owner, np.arange(len(bounds)))
             spans, tokens = [], []
-            for r in range(len(bounds) - 1):
-                text = data[bounds[r] : bounds[r + 1]].tobytes().decode()
-                found = list(assigned(text))
-                own = []
-                for b, e in zip(begins[first[r] : first[r + 1]], ends[first[r] : first[r + 1]], strict=True):
-                    at = int(place[b] - place[bounds[r]])
-                    token = data[b:e].tobytes().decode()
-                    found += inside_token(token, at)
-                    own.append((at, at + len(token), token))
-                found.sort(key=lambda s: (s[1], s[0]))
-                spans.append([dict(zip(("kind", "begin", "end", "value"), s, strict=True)) for s in found])
-                tokens.append(
-                    [
-                        dict(zip(("begin", "end", "value"), t, strict=True))
-                        for t in own
-                        if not any(s[1] < t[1] and t[0] < s[2] for s in found)
-                    ]
-                )
+            all_data, all_bounds = text_bytes(column)
+            for low, high in blocks(all_bounds):
+                bounds = all_bounds[low : high + 1] - all_bounds[low]
+                data = all_data[all_bounds[low] : all_bounds[high]]
+                for found, others in scan_rows(data, bounds):
+                    spans.append([dict(zip(("kind", "begin", "end", "value"), s, strict=True)) for s in found])
+                    tokens.append([dict(zip(("begin", "end", "value"), t, strict=True)) for t in others])
             kept = pa.StructArray.from_arrays(
                 [rows.field(rows.type.get_field_index(c)) for c in carried], carried
             )

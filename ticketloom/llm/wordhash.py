@@ -120,13 +120,19 @@ def split_words(data: np.ndarray, bounds: np.ndarray) -> Words:
     return Words(data, bounds, starts, ends, np.searchsorted(starts, bounds))
 
 
-def chunks(column: pa.Array | pa.ChunkedArray) -> Iterator[tuple[int, int, Words]]:
-    """Rows ``[low, high)`` with their words, about a quarter megabyte of text or one row at a time."""
-    data, bounds = text_bytes(column)
+def blocks(bounds: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Rows ``[low, high)`` of about a quarter megabyte of text, or one row at a time."""
     low, n = 0, len(bounds) - 1
     while low < n:
         high = int(np.searchsorted(bounds, bounds[low] + CHUNK_BYTES, side="right")) - 1
         high = min(max(high, low + 1), n)
+        yield low, high
+        low = high
+
+
+def chunks(column: pa.Array | pa.ChunkedArray) -> Iterator[tuple[int, int, Words]]:
+    """Rows ``[low, high)`` with their words, block by block."""
+    data, bounds = text_bytes(column)
+    for low, high in blocks(bounds):
         at = bounds[low : high + 1]
         yield low, high, split_words(data[at[0] : at[-1]], at - at[0])
-        low = high
