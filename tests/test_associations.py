@@ -288,10 +288,12 @@ def test_repeated_hot_tickets_multiply_like_any_join(spark):
     assert values(merged) == values(t.join(e, t.id == e.ticket_id, "left"))
 
 
-def test_hot_keys_are_listed_largest_first_and_bounded(spark, monkeypatch):
-    monkeypatch.setattr(joins, "MAX_HOT_KEYS", 2)
+def test_hot_keys_are_listed_largest_first_and_bounded_by_the_partitions(spark, conf, monkeypatch):
     rows = [(k, "x", 0) for k, n in (("a", 5), ("b", 30), ("c", 21), ("d", 25)) for _ in range(n)]
     e = edges_of(spark, rows)
+    assert values(joins.hot_keys(e, "ticket_id", 10)) == [("b", 3), ("c", 3), ("d", 3)]
+    conf(spark__sql__shuffle__partitions="1")
+    monkeypatch.setattr(joins, "HOT_PER_PARTITION", 2)
     assert values(joins.hot_keys(e, "ticket_id", 10)) == [("b", 3), ("d", 3)]
     t = tickets_of(spark, "a", "b", "c", "d", "e")
     merged = ops.merge_associations(t, e, rows_per_share=10)

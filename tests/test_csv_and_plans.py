@@ -81,7 +81,15 @@ def test_shared_path_is_the_one_the_session_names():
     assert one.startswith("s3a://bucket/shared/t-") and one != two
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         session.shared_path(FakeSession("spark://host"), "t")
-    assert "/t-" in session.shared_path(FakeSession("local[2]"), "t")
+    local = FakeSession("local[2]", **{"spark.sql.warehouse.dir": "/w"})
+    assert session.shared_path(local, "t").startswith("/w/intermediate/t-")
+
+
+def test_one_column_keeps_null_empty_and_blank(spark, tmp_path):
+    rows = [(None,), ("",), (" ",), ("a\nb",), ('"',), (None,)]
+    df = spark.createDataFrame(rows, "value string")
+    write_csv(df, str(tmp_path / "out"))
+    assert values(read_csv(spark, str(tmp_path / "out"), df.schema)) == sorted(rows, key=repr)
 
 
 def test_process_email_content(spark, tmp_path):
@@ -123,6 +131,7 @@ def test_dump_recent_tickets(spark, tmp_path):
     profile = dump.profile.orderBy("position").collect()
     assert [(r.column_name, r.column_type) for r in profile] == raw.dtypes
     assert {(r.n_columns, r.n_rows) for r in profile} == {(4, 40)}
+    assert values(dump.written) == [(31, 4)]
 
 
 def test_extract_reads_named_tables(spark, tmp_path):
@@ -144,6 +153,9 @@ def test_export_merged(spark, tmp_path):
     path = associations.export_merged(t, e, str(tmp_path))
     back = spark.read.csv(path, header=True)
     assert values(back, "id", "ticket_id") == [("1", "1"), ("2", None)]
+    rejected = spark.createDataFrame([("2", "timeout")], "ticket_id string, status string")
+    path = associations.export_merged(t, e, str(tmp_path / "known"), rejected=rejected)
+    assert values(spark.read.csv(path, header=True), "id", "ticket_id") == [("1", "1")]
 
 
 def test_read_table_prunes_columns(spark, sf_dir):

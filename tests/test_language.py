@@ -50,10 +50,11 @@ def test_only_the_source_language_is_translated(spark):
     ]
 
 
-def test_kept_content_is_cut_and_the_cut_can_be_switched_off(spark):
+def test_kept_content_is_whole_and_can_be_cut(spark):
     long = "x" * 1001
-    assert outcome(ops.translate_content(frame(spark, long))) == [("unknown", "x" * 1000 + "...")]
-    assert outcome(ops.translate_content(frame(spark, long), max_chars=None)) == [("unknown", long)]
+    assert outcome(ops.translate_content(frame(spark, long))) == [("unknown", long)]
+    cut = ops.translate_content(frame(spark, long), max_chars=1000)
+    assert outcome(cut) == [("unknown", "x" * 1000 + "...")]
 
 
 def test_rows_are_never_dropped(spark):
@@ -132,12 +133,12 @@ def test_language_counts_are_ordered(spark):
     assert [tuple(r) for r in ops.language_counts(df).collect()] == [("c", 2), ("a", 1), ("b", 1)]
 
 
-def test_glossary_size_is_checked(spark):
-    with pytest.raises(ValueError, match="glossary"):
-        lang.glossary_text(F.lit("x"), {str(i): "y" for i in range(lang.MAX_GLOSSARY + 1)})
+def test_glossaries_of_any_size(spark):
+    large = {f"w{i}": f"a{i}" for i in range(2000)}
+    df = spark.createDataFrame([("W7 x w1999  w2000 W0",), (None,)], "t string")
+    assert values(df.select(lang.glossary_text(F.col("t"), large))) == [("a7 x a1999  w2000 a0",), (None,)]
     with pytest.raises(ValueError, match="glossary"):
         lang.glossary_text(F.lit("x"), {})
-    assert all(len(g) <= lang.MAX_GLOSSARY for g in GLOSSARIES.values())
 
 
 def test_filter_on_the_language_scores_each_text_once(spark, sf_dir):

@@ -60,8 +60,6 @@ def test_clean_equals_step_by_step_chain(spark):
     assert apply(spark, txt.clean_text, bodies) == [stepwise_clean(b) for b in bodies]
 
 
-def test_line_breaks_step(spark):
-    assert apply(spark, txt.collapse_line_breaks, ["a\r\n\t\nb  c"]) == ["a b  c"]
 
 
 def test_blank_is_what_strip_empties(spark):

@@ -7,7 +7,6 @@ import importlib
 from collections.abc import Sequence
 
 from ticketloom import schemas
-from ticketloom.functions import text as txt
 from ticketloom.operators.tickets import preview
 from ticketloom.plans import associations, emails, extract, subjects
 from ticketloom.session import build_session
@@ -25,7 +24,13 @@ def _provider(name: str | None):
 
 def _landed(spark, args):
     tickets = associations.load_tickets(spark, args.tickets, args.allow_partial)
-    return tickets, associations.load_associations(spark, args.associations)
+    read = associations.load_associations(spark, args.associations, args.batches, args.allow_partial)
+    return tickets, read
+
+
+def _export(tables, base) -> None:
+    for path in associations.export_tables(tables, base).values():
+        print(path)
 
 
 def extract_tickets(spark, args) -> None:
@@ -40,17 +45,19 @@ def dump_tickets(spark, args) -> None:
     dump = extract.dump_recent_tickets(
         spark, args.raw, args.output, args.as_of, args.days, args.format
     )
-    dump.profile.show(1000, truncate=False)
     dump.preview.show(truncate=50)
+    dump.written.show()
     print(dump.path)
+    _export({"raw_profile": dump.profile}, args.output)
 
 
 def merge(spark, args) -> None:
     tickets, read = _landed(spark, args)
-    print(associations.export_merged(tickets, read.edges, args.output))
+    print(associations.export_merged(tickets, read.edges, args.output, rejected=read.rejected))
     analysis = associations.analyse_associations(tickets, read.edges, read.rejected)
     analysis.nulls.show()
-    analysis.histogram.show(1000)
+    tables = {"null_associations": analysis.nulls, "histogram": analysis.histogram, "rejected": read.rejected}
+    _export(tables, args.output)
 
 
 def compare(spark, args) -> None:
@@ -61,25 +68,33 @@ def compare(spark, args) -> None:
     report.match_rate.show()
     for examples in (report.matches, report.mismatches):
         preview(examples, ["ticket_id", "ticket_subject", "email_subject"], ["ticket_id"]).show()
+    if args.output:
+        tables = {"match_rate": report.match_rate, "matches": report.matches, "mismatches": report.mismatches}
+        _export(tables | {"rejected": read.rejected}, args.output)
 
 
 def expand(spark, args) -> None:
     tickets, read = _landed(spark, args)
     found = landed.read_emails(spark, args.emails)
-    print(associations.export_ticket_emails(tickets, read.edges, found, args.output))
+    expanded = associations.expand_emails(tickets, read.edges, found)
+    write_csv(expanded.emails, args.output, mode="overwrite")
+    print(args.output)
+    tables = {"unresolved": expanded.unresolved, "per_ticket": expanded.per_ticket, "rejected": read.rejected}
+    _export(tables, f"{args.output.rstrip('/')}_report")
 
 
 def translate(spark, args) -> None:
     result = emails.process_email_content(
         spark, args.input, args.output, schemas.TICKET_EMAIL, args.source_language,
         provider=_provider(args.provider), detector=_provider(args.detector),
-        max_chars=args.max_chars or None, batch_size=args.batch_size, partitions=args.partitions,
+        max_chars=args.max_chars, batch_size=args.batch_size, partitions=args.partitions,
     )
     shown = ["ticket_id", "detected_language", "translated_content"]
     preview(result, shown, ["ticket_id"]).show(truncate=False)
     statistics = emails.language_statistics(result, args.source_language)
-    statistics.counts.show(1000)
     statistics.mentions.show()
+    tables = {"language_counts": statistics.counts, "language_mentions": statistics.mentions}
+    _export(tables, f"{args.output.rstrip('/')}_report")
 
 
 def _parser() -> argparse.ArgumentParser:
@@ -105,20 +120,23 @@ def _parser() -> argparse.ArgumentParser:
             p.add_argument("--source", default="EMAIL")
 
     for p in (
-        job("merge-associations", merge, "tickets", "associations", "output"),
-        job("compare-subjects", compare, "tickets", "associations", "emails"),
-        job("expand-emails", expand, "tickets", "associations", "emails", "output"),
+        job("merge-associations", merge, "tickets", "output"),
+        job("compare-subjects", compare, "tickets", "emails"),
+        job("expand-emails", expand, "tickets", "emails", "output"),
     ):
+        p.add_argument("--associations", help="per-ticket responses")
+        p.add_argument("--batches", help="batch responses, instead or as well")
         p.add_argument("--allow-partial", action="store_true", help="accept missing pages")
         if p.get_default("run") is compare:
             p.add_argument("--sample", type=int, default=100)
             p.add_argument("--seed", default="0")
+            p.add_argument("--output", help="where to write the report's tables")
 
     p = job("translate-emails", translate, "input", "output")
     p.add_argument("--source-language", default="Dutch")
     p.add_argument("--provider", help="package.module:function, default the glossary")
     p.add_argument("--detector", help="package.module:function, default stop words")
-    p.add_argument("--max-chars", type=int, default=txt.MAX_CHARS, help="0 keeps texts whole")
+    p.add_argument("--max-chars", type=int, help="cut texts, whole by default")
     p.add_argument("--batch-size", type=int, help="texts per provider call")
     p.add_argument("--partitions", type=int)
     return parser

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable, Iterator, Mapping, Sequence
 
 import pandas as pd
@@ -18,8 +19,8 @@ WORD_BREAK = r"[^\p{L}]+"
 
 SKIP, TRANSLATE, KEEP = "skip", "translate", "keep"
 
-# The glossary is part of the plan and looked up per word, so it has to stay small.
-MAX_GLOSSARY = 1000
+# A map literal is searched from its start, so a glossary is split into maps of about so many words.
+GLOSSARY_MAP = 16
 
 
 def words(text: Column) -> Column:
@@ -78,14 +79,25 @@ def route(answer: Column, blank: Column, source: str) -> Column:
 
 def glossary_text(text: Column, glossary: Mapping[str, str]) -> Column:
     """Word-for-word substitution on space-separated words; unlisted words stay."""
-    if not 0 < len(glossary) <= MAX_GLOSSARY:
-        raise ValueError(f"a glossary has 1 to {MAX_GLOSSARY} words; use a provider beyond that")
-    pairs = [F.lit(part) for pair in glossary.items() for part in pair]
-    table = F.create_map(*pairs)
-    return F.array_join(
-        F.transform(F.split(text, " "), lambda word: F.coalesce(table[F.lower(word)], word)), " "
+    if not glossary:
+        raise ValueError("a glossary has a word at least")
+    n = -(-len(glossary) // GLOSSARY_MAP)
+    maps: list[dict[str, str]] = [{} for _ in range(n)]
+    for word, answer in glossary.items():
+        maps[zlib.crc32(word.encode()) % n][word] = answer
+    tables = F.array(
+        *[
+            F.create_map(*[F.lit(part) for pair in words.items() for part in pair]).cast("map<string,string>")
+            for words in maps
+        ]
     )
 
+    def answered(word: Column) -> Column:
+        table = tables[(F.crc32(F.lower(word).cast("binary")) % n).cast("int")]
+        return F.coalesce(F.try_element_at(table, F.lower(word)), word)
+
+    return F.array_join(F.transform(F.split(text, " "), answered), " ")
+
 
 def ask_provider(text: Column, provider: Provider, batch_size: int | None = None) -> Column:
     """A provider's answers, batch by batch in the tasks; NULL texts are never sent.

@@ -15,7 +15,6 @@ ENTITIES = (
 )
 # Patterns, and how long text is cut.
 TAG = "<[^>]+>"
-LINE_BREAKS = "[\r\n\t]+"
 WHITESPACE = r"\s+"
 MAX_CHARS = 1000
 ELLIPSIS = "..."
@@ -40,10 +39,6 @@ def decode_entities(text: Column) -> Column:
     return text
 
 
-def collapse_line_breaks(text: Column) -> Column:
-    return F.regexp_replace(text, LINE_BREAKS, " ")
-
-
 def collapse_whitespace(text: Column) -> Column:
     return F.regexp_replace(text, WHITESPACE, " ")
 

@@ -15,14 +15,13 @@ from pyspark.sql import functions as F
 from ticketloom.functions.ratios import percent
 from ticketloom.operators.joins import (
     ROWS_PER_SHARE,
+    dealt,
     distinct_keys,
     join_many_to_one,
     left_join_to_many,
     without_match,
 )
 
-MAX_PER_TICKET = 100
-
 
 def merge_associations(
     tickets: DataFrame, edges: DataFrame, rows_per_share: int = ROWS_PER_SHARE
@@ -106,16 +105,27 @@ def first_association(
 
 def associations_topk(
     edges: DataFrame,
-    k: int = MAX_PER_TICKET,
+    k: int,
     order_by: Sequence[str] = ("pos",),
     ties: Sequence[str] = ("association_id",),
+    rows_per_share: int = ROWS_PER_SHARE,
 ) -> DataFrame:
     """At most ``k`` associations per ticket, as a single capped API read would return.
 
-    The rank filter becomes a group limit, applied in each map task before the shuffle.
+    A hot ticket is dealt into shares, each of which keeps its first ``k`` in a task of
+    its own, before the shares' firsts are ranked together. Spark applies a limit of up
+    to 1,000 in each map task already.
     """
-    w = Window.partitionBy("ticket_id").orderBy(*_total_order(edges, order_by, ties))
-    return edges.withColumn("rank", F.row_number().over(w).cast("bigint")).where(F.col("rank") <= k)
+    order = _total_order(edges, order_by, ties)
+    shares, share = dealt(edges, "ticket_id", rows_per_share)
+    in_share = Window.partitionBy("ticket_id", share).orderBy(*order)
+    firsts = shares.withColumn("__rank", F.row_number().over(in_share)).where(F.col("__rank") <= k)
+    w = Window.partitionBy("ticket_id").orderBy(*order)
+    return (
+        firsts.drop("__rank", share)
+        .withColumn("rank", F.row_number().over(w).cast("bigint"))
+        .where(F.col("rank") <= k)
+    )
 
 
 def edges_of_tickets(

@@ -44,7 +44,9 @@ def first_email_compare(
     if not few_tickets:
         if not unique_emails:
             details = one_per_id(details, "__email_id")
-        first = first_association(lookups, order_by, ties).select("ticket_id", "association_id")
+        # Without the filter here the join's own one would make its input differ from the counted one.
+        keyed = lookups.where(F.col("ticket_id").isNotNull())
+        first = first_association(keyed, order_by, ties).select("ticket_id", "association_id")
         subjects = tickets.groupBy("id").agg(subject)
         titled = first.join(subjects, F.col("ticket_id") == F.col("id"), "inner").drop("id")
         found = join_many_to_one(titled, details, "association_id", "__email_id", counted=first)

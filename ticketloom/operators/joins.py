@@ -10,7 +10,8 @@ _HOT_KEY = "__hot_key"
 _SHARES = "__shares"
 
 ROWS_PER_SHARE = 1_000_000
-MAX_HOT_KEYS = 1000
+# So many hot keys a shuffle partition are listed at most; see ``hot_keys`` why no more are needed.
+HOT_PER_PARTITION = 4
 
 
 def distinct_keys(df: DataFrame, key: str) -> DataFrame:
@@ -20,25 +21,33 @@ def distinct_keys(df: DataFrame, key: str) -> DataFrame:
 
 
 def without_match(left: DataFrame, right: DataFrame, left_key: str, right_key: str) -> DataFrame:
-    """Rows of ``left`` whose key is NULL or absent from ``right``."""
+    """Rows of ``left`` whose key is NULL or absent from ``right``.
+
+    NULL keys stay where they lie; in the join they would all meet in one task.
+    """
     keys = distinct_keys(right, right_key)
-    return left.join(keys, F.col(left_key) == F.col(_KEY), "left_anti")
+    keyed = left.where(F.col(left_key).isNotNull())
+    return keyed.join(keys, F.col(left_key) == F.col(_KEY), "left_anti").unionAll(
+        left.where(F.col(left_key).isNull())
+    )
 
 
 def hot_keys(df: DataFrame, key: str, rows_per_share: int) -> DataFrame:
-    """The keys holding at least ``rows_per_share`` rows and how many shares each needs.
+    """The keys that need splitting, and how many shares each needs.
 
-    Counts are combined map-side. At most ``MAX_HOT_KEYS`` keys are listed, the largest
-    ones, so the list can be broadcast; any other key holds less than that fraction of
-    the rows and needs no splitting.
+    Those that hold ``rows_per_share`` rows, the largest ``HOT_PER_PARTITION`` a shuffle
+    partition. A key that is not among so many holds less than a quarter of what an even
+    partition holds, whatever the keys, so it needs no splitting; and the list is short
+    enough to be broadcast. Counts are combined map-side.
     """
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return (
         df.where(F.col(key).isNotNull())
         .groupBy(F.col(key).alias(_HOT_KEY))
         .agg(F.count("*").alias("__n"))
         .where(F.col("__n") >= rows_per_share)
         .orderBy(F.desc("__n"), _HOT_KEY)
-        .limit(MAX_HOT_KEYS)
+        .limit(HOT_PER_PARTITION * partitions)
         .select(_HOT_KEY, F.ceil(F.col("__n") / rows_per_share).cast("int").alias(_SHARES))
     )
 
@@ -58,6 +67,11 @@ def _deal(many: DataFrame, key: str, hot: DataFrame) -> DataFrame:
     )
 
 
+def dealt(many: DataFrame, key: str, rows_per_share: int = ROWS_PER_SHARE) -> tuple[DataFrame, str]:
+    """``many`` with a share for each row, 0 unless its key is hot, and the name of that column."""
+    return _deal(many, key, F.broadcast(hot_keys(many, key, rows_per_share))), "__dealt_share"
+
+
 def _repeat(one: DataFrame, key: str, hot: DataFrame) -> DataFrame:
     """Repeat the row of a hot key once per share; other rows occur once, with share 0."""
     shares = F.sequence(F.lit(0), F.coalesce(F.col(_SHARES) - 1, F.lit(0)))
@@ -118,7 +132,9 @@ def join_many_to_one(
     from a shuffle, which an aggregated ``one`` does not. So the rows of the hot keys meet
     those keys' rows of ``one`` (as few as there are hot keys) in a broadcast join, where
     they lie; the others are joined as usual and ``one`` keeps its partitioning. Without
-    hot keys adaptive execution removes the first branch. ``counted`` is where hot keys are
+    hot keys adaptive execution removes the first branch. Rows with a NULL key match
+    nothing; where the join keeps them they are added unshuffled. ``one`` must have a
+    row per key: copies would be broadcast as well. ``counted`` is where hot keys are
     looked for, if something with ``many``'s keys is cheaper to read than ``many``.
     """
     _check_columns(many, one)
@@ -129,8 +145,13 @@ def join_many_to_one(
     # An inner join, because a semi join would be moved below an aggregation in ``one``
     # and have its input read a second time.
     hot_one = one.join(hot, F.col(one_key) == F.col(_HOT_KEY), "inner").drop(_HOT_KEY)
-    return (
-        many.join(hot, is_hot, "left_semi")
+    keyed = many.where(F.col(many_key).isNotNull())
+    joined = (
+        keyed.join(hot, is_hot, "left_semi")
         .join(F.broadcast(hot_one), same_key, how)
-        .unionByName(many.join(hot, is_hot, "left_anti").join(one, same_key, how))
+        .unionByName(keyed.join(hot, is_hot, "left_anti").join(one, same_key, how))
     )
+    if how not in ("left", "left_anti"):
+        return joined
+    absent = [F.lit(None).cast(joined.schema[c].dataType).alias(c) for c in joined.columns if c not in many.columns]
+    return joined.unionByName(many.where(F.col(many_key).isNull()).select("*", *absent))

@@ -55,10 +55,10 @@ def route_content(
     df: DataFrame,
     column: str = "content",
     source: str = lang.SOURCE_LANGUAGE,
-    max_chars: int | None = txt.MAX_CHARS,
+    max_chars: int | None = None,
 ) -> DataFrame:
     """Add ``action`` (skip, translate or keep) and ``kept_content``: empty for a skipped
-    row, else the text cut to ``max_chars``."""
+    row, else the text, cut to ``max_chars`` if that is given."""
     blank = txt.is_blank(F.col(column))
     return df.withColumns(
         {
@@ -77,14 +77,14 @@ def translate_content(
     glossary: Mapping[str, str] | None = None,
     provider: lang.Provider | None = None,
     detector: lang.Provider | None = None,
-    max_chars: int | None = txt.MAX_CHARS,
+    max_chars: int | None = None,
     batch_size: int | None = None,
 ) -> DataFrame:
     """Add ``detected_language`` and ``translated_content``.
 
     Blank text gives ('unknown', ''); the source language its translation; any other
-    language the text itself, cut to ``max_chars``; a failed detection or translation
-    ('error', the cut text). Only rows to be translated reach the provider. Without one,
+    language the text itself; a failed detection or translation ('error', the text).
+    ``max_chars`` cuts texts first. Only rows to be translated reach the provider. Without one,
     the source language's glossary is substituted word for word.
     """
     detected = detect_language(df, column, detector=detector, batch_size=batch_size)

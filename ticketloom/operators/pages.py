@@ -15,6 +15,8 @@ from ticketloom.functions import nested
 from ticketloom.operators.joins import distinct_keys, without_match
 
 OK = "ok"
+# A place in a response is below this; the place of an association is its page's times this, plus its own.
+PAGE_PLACES = 1 << 32
 
 
 def decode_pages(df: DataFrame, body: str, schema=schemas.TICKET_PAGE) -> DataFrame:
@@ -68,24 +70,67 @@ def _read_ok(status: Column) -> Column:
 
 
 def association_edges(responses: DataFrame) -> DataFrame:
-    """One row per association of each ticket's response, ``pos`` = response order.
+    """One row per association of each ticket's responses, ``pos`` = page, then response order.
 
-    Responses that failed or list nothing contribute no rows.
+    Responses that failed or list nothing contribute no rows. A response that was landed
+    again counts again: see ``one_response_per_page``.
     """
     return (
         responses.where(_read_ok(F.col("status")))
-        .select("ticket_id", F.posexplode("results").alias("pos", "item"))
+        .select("ticket_id", _page(responses), F.posexplode("results").alias("pos", "item"))
         .select("ticket_id", *_edge_columns())
     )
 
 
+def _page(responses: DataFrame) -> Column:
+    page = F.col("page") if "page" in responses.columns else F.lit(None)
+    return F.coalesce(page.cast("bigint"), F.lit(0)).alias("page")
+
+
+def one_response_per_page(responses: DataFrame) -> DataFrame:
+    """The landed responses without repeats: of each ticket and page one that was read, if there is one.
+
+    Copies are combined map-side; of different answers the one with the greatest hash stays.
+    """
+    rest = [c for c in responses.columns if c not in ("ticket_id", "page")]
+    rank = F.struct(_read_ok(F.col("status")), F.xxhash64(*rest))
+    return (
+        responses.withColumn("page", _page(responses))
+        .groupBy("ticket_id", "page")
+        .agg(F.max_by(F.struct(*rest), rank).alias("kept"))
+        .select(*[F.col(c) if c in ("ticket_id", "page") else F.col(f"kept.{c}") for c in responses.columns])
+    )
+
+
+def association_gaps(responses: DataFrame) -> DataFrame:
+    """``(ticket_id, missing_cursor)``: pages of associations that a page points to but that never landed."""
+    read = responses.where(_read_ok(F.col("status")))
+    chain = read.select(
+        "ticket_id",
+        F.explode(
+            F.array(
+                F.struct(nested.next_cursor(F.col("paging")).alias("cursor"), F.lit(0).alias("landed")),
+                F.struct(F.col("after").alias("cursor"), F.lit(1).alias("landed")),
+            )
+        ).alias("end"),
+    )
+    return (
+        chain.where("end.cursor IS NOT NULL")
+        .groupBy("ticket_id", F.col("end.cursor").alias("missing_cursor"))
+        .agg(F.max("end.landed").alias("landed"))
+        .where("landed = 0")
+        .drop("landed")
+    )
+
+
 def batch_edges(responses: DataFrame) -> DataFrame:
     """The same from batch reads, where one response answers for several tickets."""
     return (
         responses.where(_read_ok(F.col("status")))
-        .select(F.explode("results").alias("result"))
+        .select(_page(responses), F.explode("results").alias("result"))
         .select(
             F.col("result.from.id").alias("ticket_id"),
+            "page",
             F.posexplode("result.to").alias("pos", "item"),
         )
         .select("ticket_id", *_edge_columns())
@@ -94,7 +139,7 @@ def batch_edges(responses: DataFrame) -> DataFrame:
 
 def _edge_columns() -> list[Column]:
     return [
-        F.col("pos").cast("bigint").alias("pos"),
+        (F.col("page") * PAGE_PLACES + F.col("pos")).alias("pos"),
         F.col("item.id").alias("association_id"),
         F.col("item.associationTypeId").alias("association_type"),
         F.col("item.associationCategory").alias("association_category"),
@@ -102,10 +147,10 @@ def _edge_columns() -> list[Column]:
 
 
 def first_of_response(responses: DataFrame) -> DataFrame:
-    """The first association straight from each response; needs no grouping."""
+    """The first association straight from each ticket's first response; needs no grouping."""
     item = nested.first_item(F.col("results"))
     return responses.where(
-        _read_ok(F.col("status")) & ~nested.has_no_items(F.col("results"))
+        _read_ok(F.col("status")) & ~nested.has_no_items(F.col("results")) & (_page(responses) == 0)
     ).select(
         "ticket_id",
         item["id"].alias("association_id"),

@@ -3,13 +3,16 @@
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ticketloom import schemas
 from ticketloom.operators import associations as assoc
 from ticketloom.operators import pages
+from ticketloom.session import staged
 from ticketloom.sinks.csv_files import write_csv, write_csv_run
 from ticketloom.sources import landed
 
@@ -19,8 +22,11 @@ class MissingPages(RuntimeError):
 
 
 def load_tickets(spark: SparkSession, path: str, allow_partial: bool = False) -> DataFrame:
-    """All landed tickets; a broken page chain is an error unless partial data is allowed."""
-    landed_pages = landed.read_ticket_pages(spark, path)
+    """All landed tickets; a broken page chain is an error unless partial data is allowed.
+
+    The responses are parsed once, into a table that every later read uses.
+    """
+    landed_pages = staged(landed.read_ticket_pages(spark, path), "ticket-pages")
     if not allow_partial:
         missing = pages.page_chain_gaps(landed_pages).orderBy("missing_cursor").limit(5).collect()
         if missing:
@@ -35,12 +41,34 @@ class Associations(NamedTuple):
     rejected: DataFrame
 
 
-def load_associations(spark: SparkSession, path: str) -> Associations:
-    responses = landed.read_association_pages(spark, path)
-    return Associations(
-        pages.association_edges(responses),
-        pages.rejected_responses(responses).select("ticket_id", "status"),
-    )
+def load_associations(
+    spark: SparkSession, path: str | None = None, batch_path: str | None = None, allow_partial: bool = False
+) -> Associations:
+    """Associations from per-ticket responses, batch responses or both, parsed once.
+
+    Of a response that was landed again one counts; a missing page of a ticket's
+    associations is an error unless partial data is allowed. Batch responses that
+    failed name no ticket, so they are rejected with a NULL one.
+    """
+    found: list[Associations] = []
+    if path is not None:
+        responses = staged(
+            pages.one_response_per_page(landed.read_association_pages(spark, path)), "association-pages"
+        )
+        if not allow_partial:
+            missing = pages.association_gaps(responses).orderBy("ticket_id", "missing_cursor").limit(5).collect()
+            if missing:
+                raise MissingPages(f"no association pages for {[tuple(r) for r in missing]}")
+        rejected = pages.rejected_responses(responses).select("ticket_id", "status")
+        found.append(Associations(pages.association_edges(responses), rejected))
+    if batch_path is not None:
+        batches = landed.read_batch_responses(spark, batch_path)
+        edges = staged(pages.batch_edges(batches).distinct(), "batch-edges")
+        rejected = pages.rejected_responses(batches).select(F.lit(None).cast("string").alias("ticket_id"), "status")
+        found.append(Associations(edges, rejected))
+    if not found:
+        raise ValueError("a path of per-ticket or of batch responses is needed")
+    return Associations(*[reduce(DataFrame.unionByName, parts) for parts in zip(*found, strict=True)])
 
 
 class NullAnalysis(NamedTuple):
@@ -56,22 +84,45 @@ def analyse_associations(
 
     Tickets whose read was rejected are left out: nothing is known about them.
     """
-    if rejected is not None:
-        tickets = assoc.tickets_without_association(tickets, rejected.select("ticket_id"))
+    tickets = known_tickets(tickets, rejected)
     counts = assoc.association_counts(tickets, edges)
     return NullAnalysis(
         assoc.null_associations(tickets, edges), counts, assoc.association_histogram(counts)
     )
 
 
+def known_tickets(tickets: DataFrame, rejected: DataFrame | None) -> DataFrame:
+    """The tickets whose associations were read: nothing is known about the others'."""
+    if rejected is None:
+        return tickets
+    return assoc.tickets_without_association(tickets, rejected.select("ticket_id"))
+
+
 def export_merged(
-    tickets: DataFrame, edges: DataFrame, output_base: str, moment: dt.datetime | None = None
+    tickets: DataFrame,
+    edges: DataFrame,
+    output_base: str,
+    moment: dt.datetime | None = None,
+    rejected: DataFrame | None = None,
 ) -> str:
-    """The left merge of tickets and associations as one CSV directory per run."""
-    merged = assoc.merge_associations(tickets, edges)
+    """The left merge of tickets and associations as one CSV directory per run.
+
+    Tickets whose read was rejected are not in it, as they are not in the analysis.
+    """
+    merged = assoc.merge_associations(known_tickets(tickets, rejected), edges)
     return write_csv_run(merged, f"{output_base.rstrip('/')}/merged_data", moment)
 
 
+def export_tables(
+    tables: dict[str, DataFrame], output_base: str, moment: dt.datetime | None = None
+) -> dict[str, str]:
+    """Each table as one CSV directory of this run; gives their paths."""
+    moment = moment or dt.datetime.now()
+    return {
+        name: write_csv_run(table, f"{output_base.rstrip('/')}/{name}", moment) for name, table in tables.items()
+    }
+
+
 class ExpandedEmails(NamedTuple):
     emails: DataFrame
     unresolved: DataFrame

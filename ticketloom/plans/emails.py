@@ -10,7 +10,6 @@ from pyspark.sql import types as T
 
 from ticketloom import schemas
 from ticketloom.functions import language as lang
-from ticketloom.functions import text as txt
 from ticketloom.operators import language as ops
 from ticketloom.sinks.csv_files import write_csv
 from ticketloom.sources.csv_files import read_csv
@@ -25,7 +24,7 @@ def process_email_content(
     glossary: Mapping[str, str] | None = None,
     provider: lang.Provider | None = None,
     detector: lang.Provider | None = None,
-    max_chars: int | None = txt.MAX_CHARS,
+    max_chars: int | None = None,
     batch_size: int | None = None,
     partitions: int | None = None,
 ) -> DataFrame:

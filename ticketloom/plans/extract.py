@@ -25,6 +25,7 @@ class TicketDump(NamedTuple):
     path: str
     profile: DataFrame
     preview: DataFrame
+    written: DataFrame
 
 
 def dump_recent_tickets(
@@ -36,10 +37,11 @@ def dump_recent_tickets(
     fmt: str = "parquet",
     moment: dt.datetime | None = None,
 ) -> TicketDump:
-    """Write the recent tickets, newest first, as CSV; give the path, profile and preview."""
+    """Write the recent tickets, newest first, as CSV; give the path, the raw table's profile,
+    a preview, and how many rows and columns were written."""
     table = read_table(spark, raw, fmt)
     recent = ops.recent_tickets(table, as_of, days)
     path = write_csv_run(recent, f"{output_base.rstrip('/')}/tickets_last_month", moment)
     shown = [c for c in ops.RAW_PREVIEW_COLUMNS if c in table.columns]
     first = ops.recent_tickets(table, as_of, days).limit(5).select(*shown)
-    return TicketDump(path, ops.table_profile(table), first)
+    return TicketDump(path, ops.table_profile(table), first, ops.table_size(recent))

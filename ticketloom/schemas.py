@@ -57,17 +57,23 @@ ASSOCIATION_ITEM = _struct(
     ("associationTypeId", _STRING),
     ("associationCategory", _STRING),
 )
-# One response per ticket; ``status`` is 'ok' or the reason the read failed.
+# One response per ticket and page; ``status`` is 'ok' or the reason the read failed. ``page``
+# counts a ticket's pages from 0 (NULL: 0), ``after`` is the cursor the page was requested with.
 ASSOCIATION_PAGE = _struct(
     ("ticket_id", _STRING),
+    ("page", T.LongType()),
+    ("after", _STRING),
     ("status", _STRING),
     ("results", T.ArrayType(ASSOCIATION_ITEM)),
+    ("paging", PAGING),
 )
 BATCH_RESULT = _struct(
     ("from", _struct(("id", _STRING))),
     ("to", T.ArrayType(ASSOCIATION_ITEM)),
+    ("paging", PAGING),
 )
 BATCH_RESPONSE = _struct(
+    ("page", T.LongType()),
     ("status", _STRING),
     ("results", T.ArrayType(BATCH_RESULT)),
 )
@@ -106,14 +112,8 @@ COMPARISON = _struct(
     ("email_text", _STRING),
     ("email_html", _STRING),
 )
-TRANSLATED = _struct(
-    ("ticket_id", _STRING),
-    ("content", _STRING),
-    ("detected_language", _STRING),
-    ("translated_content", _STRING),
-)
 
-# Properties asked of the API for a ticket and for an e-mail.
+# Properties asked of the API for a ticket and for an e-mail.
 TICKET_PROPERTIES = (
     "hs_ticket_id",
     "subject",

@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Applied only by ``build_session``; a session handed in by a cluster keeps its own.
 SPARK_DEFAULTS = {
@@ -35,12 +34,19 @@ def _setting(spark: SparkSession, key: str) -> str | None:
 def shared_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the cluster's ``spark.checkpoint.dir``.
 
-    Every executor must see the folder, so a machine-local one is used only when
-    the setting is absent and the session runs on one machine anyway.
+    Every executor must see the folder, so the warehouse's is used only where the setting
+    is absent and the session runs on one machine anyway.
     """
     base = _setting(spark, "spark.checkpoint.dir")
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        base = tempfile.mkdtemp(prefix="run-")
+        base = f"{_setting(spark, 'spark.sql.warehouse.dir') or 'spark-warehouse'}/intermediate"
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """The rows, written once as a columnar table in the shared folder and read from there."""
+    path = shared_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ticketloom.operators import associations as ops
 from ticketloom.operators import compare
+from ticketloom.plans.associations import expand_emails
 from ticketloom.plans.subjects import compare_subjects
 from ticketloom.workload.tables import (
     EDGE_ORDER,
@@ -21,6 +22,10 @@ from ticketloom.workload.tables import (
 )
 
 
+# Small enough for the hot keys of the skewed queries to be split at every scale.
+SKEWED_SHARE = 10
+
+
 def left_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     merged = ops.merge_associations(tickets(spark, sf_dir), edges(spark, sf_dir))
     return merged.withColumns(
@@ -101,6 +106,52 @@ def emails_per_ticket(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ops.emails_per_ticket(threads, ticket_emails(spark, sf_dir))
 
 
+def _skewed_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The edges, of which those of line 1 belong to one ticket and those of line 2 to none."""
+    number = F.col("pos")
+    ticket = F.when(number == 1, F.lit(77)).when(number == 2, F.lit(None)).otherwise(F.col("ticket_id"))
+    return edges(spark, sf_dir).withColumn("ticket_id", ticket.cast("bigint"))
+
+
+def left_merge_skewed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ops.merge_associations(
+        tickets(spark, sf_dir), _skewed_edges(spark, sf_dir), rows_per_share=SKEWED_SHARE
+    )
+
+
+def topk_skewed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """More than Spark's own group limit takes."""
+    return ops.associations_topk(
+        _skewed_edges(spark, sf_dir), 1500, EDGE_ORDER, EDGE_TIES, rows_per_share=SKEWED_SHARE
+    )
+
+
+def _skewed_thread_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The thread's edges, of which the first turns lead to one e-mail and the third ones nowhere."""
+    turn = F.element_at(F.split("association_id", "-"), -1)
+    target = F.when(turn == "1", F.lit("1-1")).when(turn == "3", F.lit(None)).otherwise(F.col("association_id"))
+    return thread_edges(spark, sf_dir).withColumn("association_id", target)
+
+
+def ticket_emails_skewed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ops.ticket_emails(
+        _skewed_thread_edges(spark, sf_dir), thread_emails(spark, sf_dir), rows_per_share=SKEWED_SHARE
+    )
+
+
+def unresolved_emails_skewed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ops.unresolved_emails(
+        _skewed_thread_edges(spark, sf_dir), thread_emails(spark, sf_dir), rows_per_share=SKEWED_SHARE
+    )
+
+
+def expanded_emails(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The e-mails of the threads that a system turn opens."""
+    turns = table(spark, sf_dir, "conversations").where(F.col("role") == "system")
+    threads = turns.select(F.col("conv_id").alias("id")).distinct()
+    return expand_emails(threads, thread_edges(spark, sf_dir), thread_emails(spark, sf_dir)).emails
+
+
 _EDGES = """
     SELECT l_orderkey AS ticket_id, l_suppkey AS association_id, l_returnflag AS association_type,
            l_linestatus AS association_category, CAST(l_linenumber AS BIGINT) AS pos,
@@ -154,7 +205,47 @@ _THREAD = f"""
     FROM ({_THREAD_EDGES}) JOIN ({_THREAD_EMAILS}) ON association_id = id
 """
 
+_SKEWED = f"""
+    SELECT * REPLACE (CASE pos WHEN 1 THEN 77 WHEN 2 THEN NULL ELSE ticket_id END AS ticket_id) FROM ({_EDGES})
+"""
+_SKEWED_THREAD = f"""
+    SELECT ticket_id, CASE string_split(association_id, '-')[-1]
+        WHEN '1' THEN '1-1' WHEN '3' THEN NULL ELSE association_id END AS association_id
+    FROM ({_THREAD_EDGES})
+"""
+
 QUERIES = {
+    "left_merge_skewed": (
+        left_merge_skewed,
+        f"SELECT * FROM ({_TICKETS}) LEFT JOIN ({_SKEWED}) ON id = ticket_id",
+    ),
+    "topk_skewed": (
+        topk_skewed,
+        f"""
+        SELECT *, row_number() OVER (
+            PARTITION BY ticket_id
+            ORDER BY pos, part_id, association_id, association_type, association_category) AS "rank"
+        FROM ({_SKEWED}) QUALIFY "rank" <= 1500
+        """,
+    ),
+    "ticket_emails_skewed": (
+        ticket_emails_skewed,
+        f"""
+        SELECT ticket_id, association_id, subject, content, timestamp
+        FROM ({_SKEWED_THREAD}) JOIN ({_THREAD_EMAILS}) ON association_id = id
+        """,
+    ),
+    "unresolved_emails_skewed": (
+        unresolved_emails_skewed,
+        f"""
+        SELECT ticket_id, association_id FROM ({_SKEWED_THREAD})
+        WHERE association_id IS NULL OR association_id NOT IN (SELECT id FROM ({_THREAD_EMAILS}))
+        """,
+    ),
+    "expanded_emails": (
+        expanded_emails,
+        f"{_THREAD} WHERE ticket_id IN (SELECT conv_id FROM conversations WHERE role = 'system')",
+    ),
     "left_merge": (
         left_merge,
         f"""

@@ -55,7 +55,7 @@ def glossary_translate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def translate_content(spark: SparkSession, sf_dir: str) -> DataFrame:
     cleaned = ops.clean_content(bodies(spark, sf_dir))
-    return ops.translate_content(cleaned, source=SOURCE, max_chars=None).drop("content")
+    return ops.translate_content(cleaned, source=SOURCE).drop("content")
 
 
 def provider_translate(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -67,10 +67,46 @@ def provider_translate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     cleaned = ops.clean_content(bodies(spark, sf_dir))
     return ops.translate_content(
-        cleaned, source=SOURCE, provider=word_for_word, max_chars=None
+        cleaned, source=SOURCE, provider=word_for_word
     ).drop("content")
 
 
+def _awkward(df: DataFrame, key: str) -> DataFrame:
+    """Every body with entities and tags around it; by its number some are NULL, blank or markup alone."""
+    kind = F.pmod(F.col(key), F.lit(8))
+    wrapped = F.concat(
+        F.lit("&nbsp;&lt;i&gt; 1 < 2 &amp;lt;b&amp;gt;\t"), F.col("content"), F.lit("\r\n<br/>&amp;amp; 3 > 2&nbsp;")
+    )
+    return df.withColumn(
+        "content",
+        F.when(kind == 0, F.lit(None))
+        .when(kind == 1, F.lit(" \n\t "))
+        .when(kind == 2, F.lit("<p></p>&nbsp;<br>"))
+        .otherwise(wrapped),
+    )
+
+
+def clean_awkward_content(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ops.clean_content(_awkward(_page_bodies(spark, sf_dir), "page_id"))
+
+
+def route_awkward_content(spark: SparkSession, sf_dir: str) -> DataFrame:
+    detected = ops.detect_language(_awkward(bodies(spark, sf_dir), "doc_id"))
+    return ops.route_content(detected, source=SOURCE).drop("content")
+
+
+def provider_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A provider that raises for some texts and gives nothing for others: only those become 'error'."""
+
+    def unreliable(texts: pd.Series) -> pd.Series:
+        if texts.str.contains("qu", regex=False).any():
+            raise ValueError("cannot read this")
+        return texts.map(lambda t: None if "nn" in t else t.upper() if t.isascii() else t)
+
+    cleaned = ops.clean_content(bodies(spark, sf_dir))
+    return ops.translate_content(cleaned, source=SOURCE, provider=unreliable).drop("content")
+
+
 def process_email_content(spark: SparkSession, sf_dir: str) -> DataFrame:
     """CSV in, cleaned and translated CSV out, read back."""
     emails = _page_bodies(spark, sf_dir).withColumnRenamed("page_id", "ticket_id")
@@ -83,7 +119,6 @@ def process_email_content(spark: SparkSession, sf_dir: str) -> DataFrame:
         shared_path(spark, "translated_emails"),
         schema=schema,
         source=SOURCE,
-        max_chars=None,
     )
 
 
@@ -138,7 +173,49 @@ def _translated(source: str, key: str, keep_content: bool) -> str:
     """
 
 
+def _awkward_sql(table_name: str, key: str, text: str) -> str:
+    wrapped = (
+        "'&nbsp;&lt;i&gt; 1 < 2 &amp;lt;b&amp;gt;' || chr(9) || "
+        f"{text} || chr(13) || chr(10) || '<br/>&amp;amp; 3 > 2&nbsp;'"
+    )
+    return f"""
+        SELECT {key} AS id, CASE {key} % 8 WHEN 0 THEN NULL WHEN 1 THEN ' ' || chr(10) || chr(9) || ' '
+               WHEN 2 THEN '<p></p>&nbsp;<br>' ELSE {wrapped} END AS content
+        FROM {table_name}
+    """
+
+
+_AWKWARD_BODIES = _awkward_sql("documents", "doc_id", "text")
+_FAILED = "(contains(content, 'qu') OR contains(content, 'nn'))"
+
 QUERIES = {
+    "clean_awkward_content": (
+        clean_awkward_content,
+        f"SELECT id AS page_id, {_clean('content')} AS content FROM ({_awkward_sql('pages', 'page_id', 'html')})",
+    ),
+    "route_awkward_content": (
+        route_awkward_content,
+        f"""
+        SELECT id AS doc_id, detected_language,
+               CASE WHEN blank THEN 'skip'
+                    WHEN lower(detected_language) = '{SOURCE.lower()}' THEN 'translate'
+                    ELSE 'keep' END AS action,
+               CASE WHEN blank THEN '' ELSE content END AS kept_content
+        FROM (SELECT *, regexp_full_match(coalesce(content, ''), '[\\s]*') AS blank
+              FROM ({_detected(f"SELECT id, coalesce(content, '') AS content FROM ({_AWKWARD_BODIES})")}))
+        """,
+    ),
+    "provider_failures": (
+        provider_failures,
+        f"""
+        SELECT id AS doc_id,
+               CASE WHEN sent AND {_FAILED} THEN 'error' ELSE detected_language END AS detected_language,
+               CASE WHEN {_BLANK} THEN '' WHEN sent AND NOT {_FAILED} AND regexp_full_match(content, '[\\x00-\\x7F]*')
+                    THEN upper(content) ELSE content END AS translated_content
+        FROM (SELECT *, NOT ({_BLANK}) AND lower(detected_language) = '{SOURCE.lower()}' AS sent
+              FROM ({_detected(_CLEAN_BODIES)}))
+        """,
+    ),
     "clean_content": (
         clean_content,
         f"SELECT page_id, {_clean('html')} AS content FROM pages",
@@ -163,7 +240,6 @@ QUERIES = {
                     WHEN lower(detected_language) = '{SOURCE.lower()}' THEN 'translate'
                     ELSE 'keep' END AS action,
                CASE WHEN {_BLANK} THEN ''
-                    WHEN length(content) > 1000 THEN left(content, 1000) || '...'
                     ELSE content END AS kept_content
         FROM ({_detected(_BODIES)})
         """,

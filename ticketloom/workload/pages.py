@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from ticketloom import schemas
 from ticketloom.functions import nested
 from ticketloom.operators import pages as ops
+from ticketloom.operators.associations import first_association, merge_associations
+from ticketloom.plans.associations import analyse_associations, known_tickets, load_associations, load_tickets
 from ticketloom.sinks.csv_files import write_csv
 from ticketloom.session import shared_path
 from ticketloom.sources.csv_files import read_csv
@@ -115,6 +117,101 @@ def rejected_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ops.rejected_responses(responses)
 
 
+def _paged_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A response per line item, paged by its price in cents. Those of flag 'A' landed twice, those
+    of flag 'R' failed."""
+    lineitem = table(spark, sf_dir, "lineitem")
+    twice = F.when(F.col("l_returnflag") == "A", 2).otherwise(1)
+    status = F.when(F.col("l_returnflag") == "R", "timeout").otherwise(ops.OK)
+    body = F.struct(
+        _text("l_orderkey").alias("ticket_id"),
+        F.round(F.col("l_extendedprice") * 100).cast("bigint").alias("page"),
+        status.alias("status"),
+        F.when(F.col("l_returnflag") != "R", _items()).alias("results"),
+    )
+    bodies = lineitem.select(F.explode(F.array_repeat(F.to_json(body), twice)).alias("body"))
+    return ops.one_response_per_page(ops.decode_pages(bodies, "body", schemas.ASSOCIATION_PAGE))
+
+
+def paged_association_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ops.association_edges(_paged_responses(spark, sf_dir))
+
+
+def paged_first_association(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return first_association(paged_association_edges(spark, sf_dir)).select("ticket_id", "association_id", "pos")
+
+
+def _orders_as_tickets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "orders").select(_text("o_orderkey").alias("id"))
+
+
+def known_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The merge that the job exports: without tickets of which a read failed."""
+    responses = _paged_responses(spark, sf_dir)
+    known = known_tickets(_orders_as_tickets(spark, sf_dir), ops.rejected_responses(responses))
+    return merge_associations(known, ops.association_edges(responses)).select("id", "pos", "association_id")
+
+
+def known_null_share(spark: SparkSession, sf_dir: str) -> DataFrame:
+    responses = _paged_responses(spark, sf_dir)
+    return analyse_associations(
+        _orders_as_tickets(spark, sf_dir), ops.association_edges(responses), ops.rejected_responses(responses)
+    ).nulls
+
+
+def _landed(bodies: DataFrame, name: str) -> str:
+    path = shared_path(bodies.sparkSession, name)
+    bodies.select("body").write.text(path)
+    return path
+
+
+def landed_tickets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Up to 100 orders a page, written as JSON lines and loaded by the job's reader."""
+    bag = F.create_map(F.lit("subject"), F.col("o_orderstatus"), F.lit("createdate"), F.date_format("o_orderdate", "yyyy-MM-dd"))
+    ticket = F.struct(_text("o_orderkey").alias("id"), bag.alias("properties"))
+    number = F.floor(F.col("o_orderkey") / 100)
+    pages = (
+        table(spark, sf_dir, "orders")
+        .groupBy(F.when(number > 0, number.cast("string")).alias("after"))
+        .agg(F.collect_list(ticket).alias("results"))
+    )
+    path = _landed(pages.select(F.to_json(F.struct("after", "results")).alias("body")), "landed-tickets")
+    return load_tickets(spark, path).select("id", "subject", "createdate")
+
+
+def landed_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    responses = _association_pages(spark, sf_dir).withColumn("page", F.xxhash64("results"))
+    line = F.struct("ticket_id", F.pmod("page", F.lit(1 << 20)).alias("page"), "status", "results")
+    path = _landed(responses.select(F.to_json(line).alias("body")), "landed-responses")
+    edges = load_associations(spark, path).edges
+    return edges.select("ticket_id", "association_id", "association_type", "association_category").distinct()
+
+
+def landed_batch_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One batch response per supplier and order: up to some dozens of results each."""
+    result = F.struct(F.struct(_text("l_orderkey").alias("id")).alias("from"), _items().alias("to"))
+    batches = (
+        table(spark, sf_dir, "lineitem")
+        .groupBy("l_orderkey", "l_suppkey")
+        .agg(F.collect_list(result).alias("results"))
+        .select(F.to_json(F.struct(F.lit(ops.OK).alias("status"), "results")).alias("body"))
+    )
+    edges = load_associations(spark, batch_path=_landed(batches, "landed-batches")).edges
+    return edges.select("ticket_id", "association_id", "association_type", "association_category", "pos")
+
+
+def csv_one_column(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table of one column with NULL, empty, blank and multi-line values."""
+    kind = F.pmod(F.col("conv_id"), F.lit(5))
+    value = (
+        F.when(kind == 0, F.lit(None)).when(kind == 1, F.lit("")).when(kind == 2, F.lit("  ")).otherwise(F.col("text"))
+    )
+    column = table(spark, sf_dir, "conversations").select(value.alias("value"))
+    path = shared_path(spark, "csv_one_column")
+    write_csv(column, path)
+    return read_csv(spark, path, column.schema)
+
+
 def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     conversations = table(spark, sf_dir, "conversations")
     path = shared_path(spark, "csv_roundtrip")
@@ -131,7 +228,73 @@ _ASSOCIATION_ROWS = """
            l_linestatus FROM lineitem
 """
 
+_PAGED = """
+    SELECT DISTINCT CAST(l_orderkey AS VARCHAR) AS ticket_id,
+           CAST(round(l_extendedprice * 100) AS BIGINT) * 4294967296 + place AS pos,
+           CASE place WHEN 0 THEN CAST(l_partkey AS VARCHAR) ELSE CAST(l_suppkey AS VARCHAR) END AS association_id,
+           CASE place WHEN 0 THEN 'part' ELSE 'supplier' END AS association_type,
+           CASE place WHEN 0 THEN l_returnflag ELSE l_linestatus END AS association_category
+    FROM lineitem, (SELECT unnest([0, 1]) AS place)
+    WHERE l_returnflag <> 'R'
+"""
+_KNOWN = """
+    SELECT CAST(o_orderkey AS VARCHAR) AS id FROM orders
+    WHERE o_orderkey NOT IN (
+        SELECT l_orderkey FROM lineitem GROUP BY l_orderkey, l_extendedprice HAVING bool_and(l_returnflag = 'R'))
+"""
+
 QUERIES = {
+    "paged_association_edges": (paged_association_edges, _PAGED),
+    "paged_first_association": (
+        paged_first_association,
+        f"""
+        SELECT ticket_id, association_id, pos FROM ({_PAGED})
+        QUALIFY row_number() OVER (PARTITION BY ticket_id ORDER BY pos) = 1
+        """,
+    ),
+    "known_merge": (
+        known_merge,
+        f"SELECT id, pos, association_id FROM ({_KNOWN}) LEFT JOIN ({_PAGED}) ON id = ticket_id",
+    ),
+    "known_null_share": (
+        known_null_share,
+        f"""
+        SELECT null_rows, n_tickets, round(100.0::DOUBLE * null_rows / nullif(n_tickets, 0), 2) AS null_pct
+        FROM (SELECT count(*) FILTER (association_id IS NULL) AS null_rows,
+                     (SELECT count(*) FROM ({_KNOWN})) AS n_tickets
+              FROM ({_KNOWN}) LEFT JOIN ({_PAGED}) ON id = ticket_id)
+        """,
+    ),
+    "landed_tickets": (
+        landed_tickets,
+        """
+        SELECT CAST(o_orderkey AS VARCHAR) AS id, o_orderstatus AS subject,
+               strftime(o_orderdate, '%Y-%m-%d') AS createdate
+        FROM orders
+        """,
+    ),
+    "landed_edges": (
+        landed_edges,
+        f"""
+        WITH listed AS (SELECT * FROM lineitem WHERE l_returnflag <> 'R')
+        SELECT DISTINCT ticket_id, association_id, association_type, association_category
+        FROM ({_ASSOCIATION_ROWS.replace("FROM lineitem", "FROM listed")})
+        """,
+    ),
+    "landed_batch_edges": (
+        landed_batch_edges,
+        f"""
+        SELECT DISTINCT ticket_id, association_id, association_type, association_category, pos
+        FROM ({_ASSOCIATION_ROWS})
+        """,
+    ),
+    "csv_one_column": (
+        csv_one_column,
+        """
+        SELECT CASE conv_id % 5 WHEN 0 THEN NULL WHEN 1 THEN '' WHEN 2 THEN '  ' ELSE text END AS value
+        FROM conversations
+        """,
+    ),
     "page_envelope_flatten": (
         page_envelope_flatten,
         """

@@ -52,6 +52,11 @@ def table_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ops.table_profile(table(spark, sf_dir, "orders"))
 
 
+def dump_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many rows and columns the dump of the recent orders has."""
+    return ops.table_size(recent_tickets(spark, sf_dir))
+
+
 def preview(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ops.preview(table(spark, sf_dir, "documents"), ["doc_id", "lang", "text"], ["doc_id"])
 
@@ -73,6 +78,13 @@ _PROFILE_ROWS = ", ".join(
 )
 
 QUERIES = {
+    "dump_profile": (
+        dump_profile,
+        f"""
+        SELECT count(*) AS n_rows, CAST({len(_ORDER_COLUMNS)} AS BIGINT) AS n_columns FROM orders
+        WHERE CAST(o_orderdate AS DATE) >= DATE '{AS_OF}' - INTERVAL 30 DAY
+        """,
+    ),
     "support_ticket_extract": (
         support_ticket_extract,
         f"""
