@@ -29,7 +29,9 @@ def components(nodes, links) -> dict:
 
 
 def similar(a: frozenset, b: frozenset, percent: int = 80) -> bool:
-    return bool(a) and bool(b) and 100 * len(a & b) >= percent * len(a | b)
+    if not a or not b or 100 * min(len(a), len(b)) < percent * max(len(a), len(b)):
+        return False
+    return 100 * len(a & b) >= percent * len(a | b)
 
 
 def all_links(sets: dict) -> list[tuple]:
@@ -85,6 +87,8 @@ def contaminated(texts: dict, items: dict, width: int = 5) -> dict:
             if not wanted:
                 continue
             size, own = len(wanted), Counter(grams(wanted, min(width, len(wanted))))
+            if not own.keys() & set(grams(words, min(width, size))):
+                continue
             total, best = sum(own.values()), None
             for start in range(len(words) - size + 1):
                 window = Counter(grams(words[start : start + size], min(width, size)))

@@ -46,7 +46,7 @@ def texts(seed: int = 1) -> dict[int, str | None]:
 
 def rows(found: dict[int, str | None]) -> list[tuple]:
     extra = ("k", "i", "r", "y", "w", "p", "l", "f", "g")
-    return [(i, t, ("en", "fr", None)[i % 3], *extra) for i, t in found.items()]
+    return [(i, t, ("en", "fr", None)[(i or 0) % 3], *extra) for i, t in found.items()]
 
 
 def table(spark, found):

@@ -100,7 +100,7 @@ def contaminated(
     texts = docs.select(
         F.col(id_column).cast("bigint").alias("doc_id"),
         F.xxhash64(F.col(text_column).cast("string")).alias("text_print"),
-        _words(text_column).alias("words"),
+        F.col(text_column).alias("text"),
     )
     key = ["doc_id", "text_print"]
     widths = sorted(r["width"] for r in items.select("width").distinct().collect())
@@ -125,7 +125,7 @@ def _of_width(
     # Documents with enough shingles of an item, counted exactly.
     enough = 100 * F.col("hits") >= percent * least
     near = (
-        _positions(texts, key, width)
+        _positions(texts.select(*key, _words("text").alias("words")), key, width)
         .join(known, "shingle")
         .groupBy(*key, "item_id", "size")
         .agg(F.count(F.lit(1)).alias("hits"))
@@ -137,6 +137,7 @@ def _of_width(
         F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("text_print") == F.col("t")),
         "left_semi",
     )
+    own = own.select(*key, _words("text").alias("words"))
     positions = saved(_positions(own, key, width).distinct(), "window-shingles")
 
     # Windows that share enough shingles with an item of their size.

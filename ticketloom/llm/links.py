@@ -11,15 +11,16 @@ from ticketloom.llm.components import components
 from ticketloom.llm.shared import checkpointed, saved
 
 PROBES = 6
+AsSet = Callable[[Column], Column]
 
 
 def similar(common: Column, n_a: Column, n_b: Column, percent: int) -> Column:
     return 100 * common >= percent * (n_a + n_b - common)
 
 
-def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs ``(a, b)`` whose sets ``(id, n, shingles)`` have an intersection of
-    ``percent`` of their union or more. Set sizes rule pairs out before sets are sent."""
+def verified(pairs: DataFrame, sets: DataFrame, percent: int, members: AsSet) -> DataFrame:
+    """The pairs ``(a, b)`` whose sets ``(id, n, content)`` have an intersection of
+    ``percent`` of their union or more. Set sizes rule pairs out before contents are sent."""
     sizes = sets.select("id", "n")
     sized = checkpointed(
         pairs.join(sizes.select(F.col("id").alias("a"), F.col("n").alias("na")), "a")
@@ -27,72 +28,50 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         .where(similar(F.least("na", "nb"), F.col("na"), F.col("nb"), percent))
         .select("a", "b", "na", "nb")
     )
-    common = F.size(F.array_intersect("sa", "sb")).cast("bigint")
+    common = F.size(F.array_intersect(members(F.col("sa")), members(F.col("sb")))).cast("bigint")
     return (
-        sized.join(sets.select(F.col("id").alias("a"), F.col("shingles").alias("sa")), "a")
-        .join(sets.select(F.col("id").alias("b"), F.col("shingles").alias("sb")), "b")
+        sized.join(sets.select(F.col("id").alias("a"), F.col("content").alias("sa")), "a")
+        .join(sets.select(F.col("id").alias("b"), F.col("content").alias("sb")), "b")
         .where(similar(common, F.col("na"), F.col("nb"), percent))
         .select("a", "b")
     )
 
 
-def _largest_overlaps(sets: DataFrame, ids: DataFrame) -> DataFrame:
-    """``(id, n, most)``: how many members of each set occur in another of the sets ``ids``.
-
-    No intersection with any of them can be larger.
-    """
-    chosen = sets.join(ids, "id", "left_semi")
-    alone = (
-        chosen.select("id", F.explode("shingles").alias("shingle"))
-        .groupBy("shingle")
-        .agg(F.min("id").alias("id"), F.max("id").alias("other"))
-        .where("id = other")
-        .groupBy("id")
-        .agg(F.count(F.lit(1)).alias("alone"))
-    )
-    return chosen.select("id", "n").join(alone, "id", "left").select(
-        "id", "n", (F.col("n") - F.coalesce("alone", F.lit(0))).alias("most")
-    )
-
-
 def linked_components(
     buckets: DataFrame,
     tokens: DataFrame,
     sets_of: Callable[[DataFrame], DataFrame],
     known: DataFrame,
     percent: int,
+    members: AsSet = lambda content: content,
 ) -> DataFrame:
     """``(node, component)`` over ``known`` links ``(a, b)`` and those among members of a bucket.
 
     ``buckets(key, id)`` names the candidates: members of one bucket. ``tokens(id, keys,
     others)`` says the same of two ids: they are bucket mates if they share one of
     ``keys`` and, unless it is NULL, one of ``others``. ``sets_of(ids)`` gives ``(id, n,
-    shingles)``. First every member is compared with the smallest of its bucket mates'
+    content)``, and ``members(content)`` the array of the ``n`` members of a set. First every member is compared with the smallest of its bucket mates'
     least members, then with ``PROBES`` mates drawn by hash that are not in its group
     yet: a few comparisons a member, however large a bucket. Mates that are then still
-    in different components are compared pair by pair, but for pairs whose sets cannot
-    overlap enough, because too many of their shingles occur in no other such set. So
-    no link between components is lost.
+    in different components are compared pair by pair. So no link between components is
+    lost.
     """
-    shared = (
-        buckets.groupBy("key")
-        .agg(F.min("id").alias("rep"), F.max("id").alias("other"))
-        .where("rep <> other")
-        .select("key", "rep")
-    )
-    in_use = saved(buckets.join(saved(shared, "bucket-reps"), "key"), "shared-buckets")
+    # Keys alone are counted first: few are shared, so few ids are grouped.
+    shared = saved(buckets.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key"), "shared-keys")
+    in_use = saved(buckets.join(shared, "key", "left_semi"), "shared-buckets")
+    reps = in_use.groupBy("key").agg(F.min("id").alias("rep"), F.max("id").alias("other")).where("rep <> other")
+    in_use = saved(in_use.join(checkpointed(reps.select("key", "rep")), "key"), "bucket-members")
     least = checkpointed(in_use.groupBy("id").agg(F.min("rep").alias("rep")))
     sets = saved(sets_of(least.select("id")), "shingle-sets")
     stars = least.where("id <> rep").select(F.col("rep").alias("a"), F.col("id").alias("b"))
-    links = checkpointed(verified(stars, sets, percent))
+    links = checkpointed(verified(stars, sets, percent, members))
     probes = checkpointed(_probes(in_use.select("key", "id"), links).join(stars, ["a", "b"], "left_anti"))
-    links = checkpointed(links.unionAll(verified(probes, sets, percent)).unionAll(known))
+    links = checkpointed(links.unionAll(verified(probes, sets, percent, members)).unionAll(known))
     parts = components(links)
-    pairs = _crossing(in_use.select("key", "id"), parts, tokens, sets, percent)
-    pairs = checkpointed(pairs.join(stars.unionAll(probes), ["a", "b"], "left_anti"))
-    if pairs.isEmpty():
-        return parts
-    more = checkpointed(verified(pairs, sets, percent))
+    pairs = checkpointed(_crossing(in_use.select("key", "id"), parts, tokens, least, sets, percent, members))
+    open_pairs = pairs.where("NOT linked").select("a", "b").join(stars.unionAll(probes), ["a", "b"], "left_anti")
+    sure = pairs.where("linked").select("a", "b")
+    more = checkpointed(verified(checkpointed(open_pairs), sets, percent, members).unionAll(sure))
     return parts if more.isEmpty() else components(links.unionAll(more))
 
 
@@ -128,29 +107,67 @@ def _probes(members: DataFrame, links: DataFrame) -> DataFrame:
     )
 
 
+def _differences(ids: DataFrame, least: DataFrame, sets: DataFrame, members: AsSet) -> DataFrame:
+    """``(id, rep, difference)``: what of a set and of its representative's is in one of them only.
+
+    NULL where that is more than half of the set, so a set is never sent twice over.
+    """
+    of_rep = sets.select(F.col("id").alias("rep"), F.col("content").alias("of_rep"))
+    own, other = members(F.col("content")), members(F.col("of_rep"))
+    both = F.concat(F.array_except(own, other), F.array_except(other, own))
+    return (
+        ids.select("id")
+        .join(least, "id")
+        .join(sets, "id")
+        .join(of_rep, "rep")
+        .select("id", "rep", "n", both.alias("difference"))
+        .select("id", "rep", "n", F.when(2 * F.size("difference") <= F.col("n"), F.col("difference")).alias("difference"))
+    )
+
+
 def _crossing(
-    members: DataFrame, parts: DataFrame, tokens: DataFrame, sets: DataFrame, percent: int
+    mates: DataFrame,
+    parts: DataFrame,
+    tokens: DataFrame,
+    least: DataFrame,
+    sets: DataFrame,
+    percent: int,
+    members: AsSet,
 ) -> DataFrame:
-    """Pairs of bucket mates of different components whose sets may be similar, each once."""
-    named = saved(_named(members, parts.select(F.col("node").alias("id"), F.col("component").alias("name"))), "placed")
+    """``(a, b, linked)``: bucket mates of different components, each pair once.
+
+    Two sets differ in what their differences from a common representative do not share,
+    so for mates with the same one the join itself decides, and only links come out. Other
+    mates come out undecided if their sizes allow a link.
+    """
+    named = saved(_named(mates, parts.select(F.col("node").alias("id"), F.col("component").alias("name"))), "placed")
     ids = checkpointed(named.join(_open_keys(named), "key", "left_semi").select("id", "name").distinct())
-    bounded = _largest_overlaps(sets, ids).where(100 * F.col("most") >= percent * F.col("n"))
     rows = saved(
-        ids.join(bounded, "id").join(tokens, "id").select("*", F.explode("keys").alias("key")), "crossing"
+        ids.join(_differences(ids, least, sets, members), "id")
+        .join(tokens, "id")
+        .select("*", F.explode("keys").alias("key")),
+        "crossing",
     )
-    left, right = (
-        rows.select("key", *[F.col(c).alias(f"{c}_{side}") for c in ("id", "name", "n", "most", "keys", "others")])
-        for side in "ab"
+    columns = ("id", "name", "n", "rep", "difference", "keys", "others")
+    left, right = (rows.select("key", *[F.col(c).alias(f"{c}_{side}") for c in columns]) for side in "ab")
+    total = F.col("n_a") + F.col("n_b")
+    sizes = F.size("difference_a") + F.size("difference_b")
+    apart = sizes - 2 * F.size(F.array_intersect("difference_a", "difference_b"))
+    same_rep = F.coalesce(
+        (F.col("rep_a") == F.col("rep_b")) & F.col("difference_a").isNotNull() & F.col("difference_b").isNotNull(),
+        F.lit(False),
     )
-    most = F.least("most_a", "most_b")
+    # Of n_a + n_b members in all, ``apart`` lie in one set only.
+    linked = (100 + percent) * apart <= (100 - percent) * total
     return (
         left.join(right, "key")
         .where(
             (F.col("id_a") < F.col("id_b"))
             & (F.col("name_a") != F.col("name_b"))
-            & similar(most, F.col("n_a"), F.col("n_b"), percent)
+            & similar(F.least("n_a", "n_b"), F.col("n_a"), F.col("n_b"), percent)
+            & (~same_rep | linked)
             & F.coalesce(F.arrays_overlap("others_a", "others_b"), F.lit(True))
             & (F.array_min(F.array_intersect("keys_a", "keys_b")) == F.col("key"))
         )
-        .select(F.col("id_a").alias("a"), F.col("id_b").alias("b"))
+        .select(F.col("id_a").alias("a"), F.col("id_b").alias("b"), same_rep.alias("linked"))
     )

@@ -128,7 +128,7 @@ def tensored_buckets(tokens: DataFrame) -> DataFrame:
 
 
 def whole_sets(docs: DataFrame, ids: DataFrame, id_column: str, text_column: str, width: int) -> DataFrame:
-    """``(id, n, shingles)`` of the documents ``ids``; one for each text that an id has."""
+    """``(id, n, content)`` of the documents ``ids``; one for each text that an id has."""
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -141,13 +141,13 @@ def whole_sets(docs: DataFrame, ids: DataFrame, id_column: str, text_column: str
                     pa.array(np.diff(offsets), pa.int64()),
                     pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values)),
                 ],
-                ["id", "n", "shingles"],
+                ["id", "n", "content"],
             )
 
     texts = docs.select(
         F.col(id_column).cast("bigint").alias("id"), F.col(text_column).cast("string").alias("text")
     )
-    return texts.join(ids, "id", "left_semi").mapInArrow(sets, "id bigint, n bigint, shingles array<bigint>")
+    return texts.join(ids, "id", "left_semi").mapInArrow(sets, "id bigint, n bigint, content array<bigint>")
 
 
 def near_duplicates(

@@ -12,10 +12,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def saved(df: DataFrame, name: str) -> DataFrame:
-    """The rows, written once to the cluster's shared folder and read from there."""
+    """The rows, written once to the cluster's shared folder and read from there.
+
+    Spark drops the shuffle files of a finished step when the driver happens to collect
+    its garbage; that is asked for here, or they would lie on the executors' disks for
+    the whole job.
+    """
     spark = df.sparkSession
     path = shared_path(spark, name)
     df.write.parquet(path)
+    spark.sparkContext._jvm.System.gc()
     return spark.read.schema(df.schema).parquet(path)
 
 
