@@ -11,11 +11,11 @@ from ticketloom.llm.shared import checkpointed
 def components(edges: DataFrame) -> DataFrame:
     """``(node, component)`` for every end of ``edges(a, b)``; a component is named by its smallest node.
 
-    Each round hangs every node on its smallest neighbour, shortens the paths and
-    contracts the edges, so a chain shrinks by a power and a star in one round. A
-    node's minimum is combined before the shuffle; the joins read checkpointed
-    tables, so adaptive execution may split a hot node. Self-links and NULL ends
-    are dropped, repeated links count once.
+    Each round hangs every node on its smallest neighbour, doubles the paths until
+    they end at roots and contracts the edges to these, so long chains and large stars
+    take few rounds. A node's minimum is combined before the shuffle; the joins read
+    checkpointed tables, so adaptive execution may split a hot node. Self-links and
+    NULL ends are dropped, repeated links count once.
     """
     edges = checkpointed(
         edges.where("a IS NOT NULL AND b IS NOT NULL AND a <> b").select("a", "b").distinct()
@@ -27,10 +27,7 @@ def components(edges: DataFrame) -> DataFrame:
             .groupBy(F.col("a").alias("node"))
             .agg(F.least(F.min("b"), F.col("node")).alias("parent"))
         )
-        up = parents.select(F.col("node").alias("parent"), F.col("parent").alias("above"))
-        parents = checkpointed(
-            parents.join(up, "parent").select("node", F.col("above").alias("parent"))
-        )
+        parents = _roots(parents)
         if labels is None:
             labels = parents.select("node", F.col("parent").alias("component"))
         else:
@@ -52,3 +49,13 @@ def components(edges: DataFrame) -> DataFrame:
     if labels is None:
         return edges.select(F.col("a").alias("node"), F.col("b").alias("component"))
     return labels
+
+
+def _roots(parents: DataFrame) -> DataFrame:
+    """``(node, parent)`` with the root of each node's tree: a path of length n takes log n joins."""
+    while True:
+        up = parents.select(F.col("node").alias("parent"), F.col("parent").alias("above"))
+        above = checkpointed(parents.join(up, "parent").select("node", "parent", "above"))
+        parents = above.select("node", F.col("above").alias("parent"))
+        if above.where("parent <> above").isEmpty():
+            return parents
