@@ -25,7 +25,7 @@ from ticketloom.llm.wordhash import Words, chunks, mixed, run_hashes
 WINDOW = 35
 PHRASE = 8
 SHARD_PHRASES = 20_000  # of one automaton
-GROUP_BYTES = 8 << 20  # of the texts that one task streams through it at a time
+GROUP_BYTES = 16 << 20  # of the texts that one task streams through it at a time
 
 ANCHORS = "array<struct<phrase:bigint, shard:int>>"
 
@@ -287,9 +287,7 @@ def without_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str
     phrases = _phrase_texts(candidates).select("shard", F.lit(None).cast("bigint").alias("window"), "words")
     patterns = saved(confirmed.unionAll(phrases), "phrase-patterns")
 
-    routed = saved(
-        candidates.select("row_id", "text", F.explode(F.array_distinct("anchors.shard")).alias("shard")), "routed"
-    )
+    routed = candidates.select("row_id", "text", F.explode(F.array_distinct("anchors.shard")).alias("shard"))
     groups = checkpointed(
         routed.groupBy("shard")
         .agg(F.ceil(F.sum(F.octet_length("text")) / GROUP_BYTES).cast("int").alias("n_groups"))
