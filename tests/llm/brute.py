@@ -114,3 +114,46 @@ def repeats_removed(texts: list, window: int = 35) -> list[tuple]:
         }
         result.append((len(w), [x for k, x in enumerate(w) if k not in gone]))
     return result
+
+
+def word_surprise(text: str, others: list[str], everything: list[str]) -> float:
+    """The negative log probability of ``text`` by a Kneser-Ney model of order 3 of ``others``,
+    with discounts and vocabulary of ``everything``."""
+    from collections import Counter
+    from math import log
+
+    def trigrams(t):
+        words = ["<", "<", *t.split(), ">"]
+        return list(zip(words, words[1:], words[2:], strict=False))
+
+    def counts(texts):
+        three = Counter(g for t in texts for g in trigrams(t))
+        two = Counter()
+        for (_, b, c), n in three.items():
+            two[b, c] += n if b == "<" else 1
+        one = Counter((c,) for _, c in two)
+        return one, two, three
+
+    def discount(of):
+        times = [sum(n == k for n in of.values()) for k in (1, 2, 3, 4)]
+        y = times[0] / (times[0] + 2 * times[1]) if times[0] + times[1] else None
+        return [0] + [
+            max(0.1, min(k, k - (k + 1) * y * times[k] / times[k - 1])) if y is not None and times[k - 1] else 0.5 * k
+            for k in (1, 2, 3)
+        ]
+
+    whole = counts(everything)
+    discounts = [discount(of) for of in whole]
+
+    def p(gram):
+        below = p(gram[1:]) if len(gram) > 1 else 1 / (len(whole[0]) + 1)
+        of, d = levels[len(gram) - 1], discounts[len(gram) - 1]
+        context = [n for g, n in of.items() if g[:-1] == gram[:-1]]
+        if not context:
+            return below
+        n = of[gram]
+        back = sum(d[min(k, 3)] for k in context)
+        return (n - d[min(n, 3)] + back * below) / sum(context)
+
+    levels = counts(others)
+    return -sum(log(p(g)) for g in trigrams(text))

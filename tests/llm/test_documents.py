@@ -87,6 +87,46 @@ def test_quality_bands_reject_what_is_unlike_its_language(spark):
     assert [r["row"]["doc_id"] for r in found.where("NOT kept").collect()] == [500]
 
 
+def test_quality_rejects_known_words_in_random_order(spark):
+    rng = random.Random(6)
+    names = sorted({fixtures.prose(rng, 1) for _ in range(300)})
+    after = {w: rng.sample(names, 3) for w in names}
+
+    def ordered(n):
+        words = [rng.choice(names)]
+        while len(words) < n:
+            words.append(rng.choice(after[words[-1]]))
+        return words
+
+    rows = [(i, " ".join(ordered(rng.randint(80, 200))), "en") for i in range(150)]
+    salad = rows[7][1].split(" ")
+    rng.shuffle(salad)
+    rows.append((500, " ".join(salad), "en"))
+    found = quality.quality_rules(spark.createDataFrame(rows, "doc_id bigint, text string, lang string"))
+    assert [r["row"]["doc_id"] for r in found.where("NOT kept").collect()] == [500]
+
+
+def test_word_perplexity_leaves_the_text_out(spark):
+    """Each text is scored as by a model counted over the others, with the discounts of all."""
+    import numpy as np
+
+    from ticketloom.llm import wordmodel
+
+    rng = random.Random(8)
+    texts = [" ".join(rng.choices("abcde", k=rng.randint(1, 30))) for _ in range(12)] + ["a b a b"] * 2
+    docs = spark.createDataFrame([(t, "en") for t in texts], "text string, lang string")
+    found = {(r["h1"], r["h2"]): r for r in wordmodel.word_surprise(docs, "text", "lang").collect()}
+    prints = docs.select("text", *wordmodel.text_prints("text")).distinct().collect()
+    assert len(found) == len(prints)
+    for row in prints:
+        others = list(texts)
+        others.remove(row["text"])
+        expected = brute.word_surprise(row["text"], others, texts)
+        got = found[row["h1"], row["h2"]]
+        assert got["word_n"] == len(row["text"].split()) + 1
+        assert got["word_surprise"] == pytest.approx(expected)
+
+
 def test_language_model_is_a_distribution(spark):
     """After every context the probabilities of all symbols add up to one."""
     import numpy as np

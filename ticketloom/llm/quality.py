@@ -1,11 +1,11 @@
 """Quality rules: repetition and length counts, and perplexity bands by language.
 
-The language model has characters as its unit: every word is a sequence of symbols
-out of 64 between two boundaries, and a modified Kneser-Ney model of order 4 is
-counted and estimated by Spark for each language. Its n-grams are packed into
-integers that hash without collisions and are kept in sorted arrays. A language has
-at most 64 + 64^2 + 64^3 + 64^4 of them, so the model's size has a bound whatever the
-corpus; tables of word n-grams would grow with it.
+A text's perplexity is that of its words in their order (``wordmodel``), whose tables
+grow with the corpus. A second model judges spelling and has characters as its unit:
+every word is a sequence of symbols out of 64 between two boundaries, and a modified
+Kneser-Ney model of order 4 is counted and estimated by Spark for each language. Its
+n-grams are packed into integers that hash without collisions and are kept in sorted
+arrays. Both models can reject a text.
 """
 
 from __future__ import annotations
@@ -21,8 +21,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ticketloom.llm.shared import checkpointed, saved
+from ticketloom.llm.shared import checkpointed, free_name, saved
 from ticketloom.llm.wordhash import Words, chunks, mixed
+from ticketloom.llm.wordmodel import text_prints, word_surprise
 
 ORDER = 4
 BITS = 6
@@ -414,6 +415,27 @@ def perplexity_bands(scored: DataFrame) -> DataFrame:
     )
 
 
+def word_limits(scored: DataFrame) -> DataFrame:
+    """``(language, word_high, word_deviation)``: the upper fence of the mean surprise of words.
+
+    It lies twice ``FENCE`` distances of median and upper quartile beyond that quartile, so
+    copied texts, which others make likely, do not widen it.
+    """
+    base = scored.where("NOT base_failed AND word_n > 0")
+    steps = base.groupBy(
+        "language", F.round(F.col("word_surprise") / F.col("word_n") * 1000).cast("bigint").alias("step")
+    ).agg(
+        F.count(F.lit(1)).alias("n"), *[F.sum(c).alias(c) for c in ("word_n", "word_surprise", "word_squares")]
+    )
+    quartiles = F.percentile("step", F.array(F.lit(0.5), F.lit(0.75)), F.col("n"))
+    mean = F.sum("word_surprise") / F.sum("word_n")
+    variance = F.sum("word_squares") / F.sum("word_n") - mean * mean
+    return steps.groupBy("language").agg(
+        ((quartiles[1] + 2 * FENCE * (quartiles[1] - quartiles[0])) / 1000).alias("word_high"),
+        F.sqrt(F.greatest(F.lit(0.0), variance)).alias("word_deviation"),
+    )
+
+
 def quality_rules(
     docs: DataFrame,
     carried: Sequence[str] | None = None,
@@ -424,28 +446,46 @@ def quality_rules(
 
     ``base_failed``: fewer than 50 words, or over half of the words lie in 3-word
     windows that occur twice or more in the text. A document that passes is rejected
-    if its mean surprise (the logarithm of its perplexity) lies outside the band of
-    its language by more than ``ERRORS`` standard errors of a text of its length. A
+    if the mean surprise of its words (the logarithm of its perplexity, by all other
+    texts) lies above the fence of its language, or that of its characters outside
+    their band, by more than ``ERRORS`` standard errors of a text of its length. A
     NULL or wordless text has counts of 0, a NULL perplexity and fails; a NULL
     language is a language of its own; repeated rows are judged alike; an empty table
     gives an empty result. Extra columns stay inside ``row``, whatever their names.
     """
     carried = list(docs.columns if carried is None else carried)
+    prints = dict(zip([free_name(docs, "print1"), free_name(docs, "print2")], text_prints(text_column), strict=True))
+    printed = docs.withColumns(prints)
     counts = checkpointed(ngram_counts(docs, text_column, lang_column))
-    scored = saved(_scored(docs, counts, carried, text_column, lang_column), "scored").withColumn(
+    words = word_surprise(docs, text_column, lang_column)
+    measures = _scored(printed, counts, [*carried, *prints], text_column, lang_column)
+    field = F.col("row").getField
+    measures = measures.select(
+        F.struct(*[field(c).alias(c) for c in carried]).alias("row"),
+        "language",
+        *METRICS.names,
+        *[field(c).alias(h) for c, h in zip(prints, ("h1", "h2"), strict=True)],
+    )
+    by_text = ["h1", "h2", "language"]
+    scored = saved(
+        measures.join(words.withColumnRenamed("lang", "language"), by_text, "left").drop("h1", "h2"), "scored"
+    ).withColumn(
         "base_failed",
         (F.col("n_words") < MIN_WORDS)
         | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words")),
     )
     bands = F.broadcast(checkpointed(perplexity_bands(scored)))  # one row a language
+    limits = F.broadcast(checkpointed(word_limits(scored)))
     n_scored = F.when(F.col("n_scored") > 0, F.col("n_scored"))
     mean = F.col("surprise") / n_scored
     slack = ERRORS * F.col("deviation") / F.sqrt(n_scored)
     inside = (mean >= F.col("low") - slack) & (mean <= F.col("high") + slack)
-    return scored.join(bands, "language", "left").select(
+    word_mean = F.col("word_surprise") / F.col("word_n")
+    likely = word_mean <= F.col("word_high") + ERRORS * F.col("word_deviation") / F.sqrt("word_n")
+    return scored.join(bands, "language", "left").join(limits, "language", "left").select(
         "row",
         *METRICS.names[:5],
         "base_failed",
-        F.exp(mean).alias("perplexity"),
-        (~F.col("base_failed") & F.coalesce(inside, F.lit(False))).alias("kept"),
+        F.exp(word_mean).alias("perplexity"),
+        (~F.col("base_failed") & F.coalesce(inside & likely, F.lit(False))).alias("kept"),
     )
