@@ -99,6 +99,22 @@ def test_learned_formats_find_unlabelled_keys_and_leave_ordinary_tokens(spark):
     assert all(rows[i]["spans"] == "format:4:24" for i, _ in hidden if rows[i]["n_format"])
 
 
+@pytest.mark.parametrize("n, length", [(30, 20), (2000, 20), (2000, 15)])
+def test_many_unlabelled_keys_are_found_as_few_are(spark, n, length):
+    rng = random.Random(3)
+    hexes, upper = "0123456789abcdef", "ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"
+    draw = lambda letters, k: "".join(rng.choices(letters, k=k))
+    labelled = [(i, f"token={draw(hexes, 40)} and AKIA{draw(upper, 16)} here") for i in range(60)]
+    plain = [(100 + i, fixtures.prose(rng, 150) + " " + "internationalization" * 2) for i in range(60)]
+    plain += [(300 + i, "number " + draw("0123456789", 16)) for i in range(60)]
+    hidden = [(1000 + i, f"see {draw(hexes, length)} there") for i in range(n)]
+    docs = spark.createDataFrame(labelled + plain + hidden, "doc_id bigint, text string")
+    rows = {r["row"]["doc_id"]: r for r in secrets.secret_spans(docs).collect()}
+    assert sum(rows[i]["n_format"] for i, _ in plain) == 0
+    assert sum(rows[i]["n_format"] for i, _ in hidden) >= 0.9 * n
+    assert all(rows[i]["spans"] == f"format:4:{4 + length}" for i, _ in hidden if rows[i]["n_format"])
+
+
 def test_merged_automaton_keeps_the_words_of_its_tree():
     words = ["ab" * k for k in range(1, 6)] * 4 + ["c"]
     tree, merged = secrets.Automaton.prefix_tree(words), secrets.Automaton.prefix_tree(words).merged()

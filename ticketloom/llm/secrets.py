@@ -2,8 +2,9 @@
 
 The values the patterns find are labelled credentials. A prefix tree of each kind's
 values is folded into a probabilistic automaton by merging states whose continuations
-are statistically compatible (Hoeffding's bound). Every other long token is scored by
-its likelihood under the automata against that under ordinary tokens.
+are statistically compatible (Hoeffding's bound). Every other token from the least labelled
+length on is scored by its likelihood under the automata against that under ordinary
+tokens, which no candidate trains.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ticketloom.llm.shared import saved
-from ticketloom.llm.wordhash import blocks, text_bytes
+from ticketloom.llm.wordhash import blocks, mixed, run_hashes, text_bytes
 
 # The patterns and the least lengths of their matches.
 KINDS = ("assign", "access", "hex")
@@ -38,18 +39,14 @@ TRAINING_VALUES = 500  # of each kind, those with the smallest hashes
 TRAINING_LENGTH = 128
 ALPHA = 0.05
 THRESHOLD = 0.5  # natural logarithm of the likelihood ratio, a symbol
+EVIDENCE = THRESHOLD * (TOKEN_LENGTH + 2)  # and of the whole token, so that a short one needs more a symbol
+CACHED_WORDS = 500_000  # of a task
 
 _TOKEN_BYTES = np.zeros(256, bool)
 _TOKEN_BYTES[[ord(c) for c in "+/_.=-"]] = True
 for _low, _high in ("09", "AZ", "az"):
     _TOKEN_BYTES[ord(_low) : ord(_high) + 1] = True
 
-SCANNED = (
-    "row struct<{row}>, spans array<struct<kind:int, begin:bigint, end:bigint, value:string>>, "
-    "tokens array<struct<begin:bigint, end:bigint, value:string>>"
-)
-
-
 def symbols(token: str) -> str:
     """Digits as 0, hexadecimal letters as a or A, other letters as z or Z, other characters as they are."""
     return token.translate(_CLASSES)
@@ -58,17 +55,22 @@ def symbols(token: str) -> str:
 _CLASSES = {ord(c): "0" for c in "123456789"}
 _CLASSES |= {ord("a") + i: "a" if i < 6 else "z" for i in range(26)}
 _CLASSES |= {ord("A") + i: "A" if i < 6 else "Z" for i in range(26)}
+_CLASS_BYTES = np.arange(256, dtype=np.uint8)
+for _character, _symbol in _CLASSES.items():
+    _CLASS_BYTES[_character] = ord(_symbol)
+_SPREAD = mixed(np.arange(256, dtype=np.uint64), 1)
+PLAIN = re.compile(r"[AZ]?[az]+|0+")
 
 
-def token_runs(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Begin and end of the maximal runs of ``TOKEN_LENGTH`` or more token bytes, not across rows."""
+def token_runs(data: np.ndarray, bounds: np.ndarray, least: int = TOKEN_LENGTH) -> tuple[np.ndarray, np.ndarray]:
+    """Begin and end of the maximal runs of ``least`` or more token bytes, not across rows."""
     inside = np.zeros(len(data) + 1, bool)
     inside[:-1] = _TOKEN_BYTES[data]
     edge = np.zeros(len(data) + 1, bool)
     edge[bounds] = True
     begins = np.flatnonzero(inside & (edge | ~np.concatenate([[False], inside[:-1]])))
     ends = np.flatnonzero((edge | ~inside) & np.concatenate([[False], inside[:-1]]))
-    long = ends - begins >= TOKEN_LENGTH
+    long = ends - begins >= least
     return begins[long], ends[long]
 
 
@@ -90,50 +92,74 @@ def inside_token(token: str, begin: int) -> Iterator[tuple[int, int, int, str]]:
                 yield kind, begin + m.start(), begin + m.end(), m[0]
 
 
-def scan_rows(data: np.ndarray, bounds: np.ndarray) -> Iterator[tuple[list, list]]:
-    """Of each row the pattern spans, in order, and the tokens that overlap none of them."""
+@dataclass
+class Scan:
+    """Rows ``low`` to ``high``: the pattern spans of each, in code points and in order, and the
+    tokens that overlap none, as bytes ``begins[t]:ends[t]`` and by number of their class word."""
+
+    low: int
+    high: int
+    spans: list[list[tuple[int, int, int, str]]]
+    data: np.ndarray
+    bounds: np.ndarray
+    place: np.ndarray
+    begins: np.ndarray
+    ends: np.ndarray
+
+    def class_words(self) -> tuple[list[str], np.ndarray]:
+        """The distinct class words of the tokens, and the number of each token's."""
+        classes = _CLASS_BYTES[self.data]
+        key = run_hashes(_SPREAD[classes], self.begins, self.ends)
+        first, of = np.unique(key, return_index=True, return_inverse=True)[1:]
+        return [classes[self.begins[t] : self.ends[t]].tobytes().decode() for t in first], of
+
+
+def pattern_spans(data: np.ndarray, bounds: np.ndarray, place: np.ndarray) -> Iterator[list]:
+    """Of each row the pattern spans, in order."""
     begins, ends = token_runs(data, bounds)
-    place = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])
     first = np.searchsorted(begins, bounds)
     for r in range(len(bounds) - 1):
         found = list(assigned(data[bounds[r] : bounds[r + 1]].tobytes().decode()))
-        own = []
         for b, e in zip(begins[first[r] : first[r + 1]], ends[first[r] : first[r + 1]], strict=True):
-            at = int(place[b] - place[bounds[r]])
-            token = data[b:e].tobytes().decode()
-            found += inside_token(token, at)
-            own.append((at, at + len(token), token))
+            found += inside_token(data[b:e].tobytes().decode(), int(place[b] - place[bounds[r]]))
         found.sort(key=lambda s: (s[1], s[0]))
-        yield found, [t for t in own if not any(s[1] < t[1] and t[0] < s[2] for s in found)]
-
-
-def scanned(docs: DataFrame, carried: list[str], text_column: str) -> DataFrame:
-    """``row``, ``spans`` of the patterns and the other ``tokens`` of each whole text, in code points."""
-    used = list(dict.fromkeys([*carried, text_column]))
-    row_type = docs.select(*carried).schema.simpleString().removeprefix("struct<").removesuffix(">")
-
-    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield found
+
+
+def scans(column: pa.Array) -> Iterator[Scan]:
+    all_data, all_bounds = text_bytes(column)
+    for low, high in blocks(all_bounds):
+        bounds = all_bounds[low : high + 1] - all_bounds[low]
+        data = all_data[all_bounds[low] : all_bounds[high]]
+        place = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])
+        spans = list(pattern_spans(data, bounds, place))
+        covered = np.zeros(place[-1] + 1, bool)
+        for r, found in enumerate(spans):
+            for _, begin, end, _ in found:
+                covered[place[bounds[r]] + begin : place[bounds[r]] + end] = True
+        total = np.concatenate([[0], np.cumsum(covered)])
+        begins, ends = token_runs(data, bounds, 1)
+        free = total[place[ends]] == total[place[begins]]
+        yield Scan(low, high, spans, data, bounds, place, begins[free], ends[free])
+
+
+def labelled(docs: DataFrame, text_column: str) -> DataFrame:
+    """``(kind, value)`` of what the patterns find."""
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = batch.column(0)
-            column = rows.field(rows.type.get_field_index(text_column)).cast(pa.string())
-            spans, tokens = [], []
-            all_data, all_bounds = text_bytes(column)
-            for low, high in blocks(all_bounds):
-                bounds = all_bounds[low : high + 1] - all_bounds[low]
-                data = all_data[all_bounds[low] : all_bounds[high]]
-                for found, others in scan_rows(data, bounds):
-                    spans.append([dict(zip(("kind", "begin", "end", "value"), s, strict=True)) for s in found])
-                    tokens.append([dict(zip(("begin", "end", "value"), t, strict=True)) for t in others])
-            kept = pa.StructArray.from_arrays(
-                [rows.field(rows.type.get_field_index(c)) for c in carried], carried
-            )
-            span = pa.struct([("kind", pa.int32()), ("begin", pa.int64()), ("end", pa.int64()), ("value", pa.string())])
-            token = pa.struct([("begin", pa.int64()), ("end", pa.int64()), ("value", pa.string())])
-            yield pa.RecordBatch.from_arrays(
-                [kept, pa.array(spans, pa.list_(span)), pa.array(tokens, pa.list_(token))], ["row", "spans", "tokens"]
-            )
+            data, bounds = text_bytes(batch.column(0))
+            for low, high in blocks(bounds):
+                at = bounds[low : high + 1] - bounds[low]
+                block = data[bounds[low] : bounds[high]]
+                place = np.concatenate([[0], np.cumsum((block & 0xC0) != 0x80)])
+                found = [s for spans in pattern_spans(block, at, place) for s in spans]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([s[0] for s in found], pa.int32()), pa.array([s[3] for s in found], pa.string())],
+                    ["kind", "value"],
+                )
 
-    return docs.select(F.struct(*used).alias("row")).mapInArrow(scan, SCANNED.format(row=row_type))
+    return docs.select(F.col(text_column).cast("string")).mapInArrow(find, "kind int, value string")
 
 
 @dataclass
@@ -229,10 +255,9 @@ class Automaton:
         return total + math.log(at.ended / at.arrived) if at.ended else -math.inf
 
 
-def learned_automata(found: DataFrame) -> list[Automaton]:
+def learned_automata(values: DataFrame) -> list[Automaton]:
     """One per kind, from a bounded sample of distinct values: TRAINING_VALUES of at most TRAINING_LENGTH characters."""
     automata = []
-    values = found.select(F.explode("spans").alias("span")).select("span.kind", "span.value")
     for kind in range(len(KINDS)):
         chosen = (
             values.where((F.col("kind") == kind) & (F.length("value") <= TRAINING_LENGTH))
@@ -247,24 +272,63 @@ def learned_automata(found: DataFrame) -> list[Automaton]:
     return automata
 
 
-def ordinary_tokens(found: DataFrame) -> dict[str, float]:
-    """Log probabilities of a symbol after another (``^`` begins, ``$`` ends), counted over all other tokens."""
-    value = F.col("token.value")
-    for pattern, symbol in (("[0-9]", "0"), ("[a-f]", "a"), ("[g-z]", "z"), ("[A-F]", "A"), ("[G-Z]", "Z")):
-        value = F.regexp_replace(value, pattern, symbol)
-    framed = F.concat(F.lit("^"), value, F.lit("$"))
-    steps = F.transform(F.sequence(F.lit(1), F.length(framed) - 1), lambda i: F.substring(framed, i, F.lit(2)))
+def is_ordinary(word: str, automata: list[Automaton]) -> bool:
+    """Whether tokens of a class word train the ordinary model: those too short to be scored, a
+    plain word or number, and what no automaton accepts. So a credential of a learned format
+    that mixes classes never does, however many there are."""
+    return (
+        len(word) < ASSIGN_VALUE
+        or PLAIN.fullmatch(word) is not None
+        or all(a.log_likelihood(word) == -math.inf for a in automata)
+    )
+
+
+class Cached(dict):
+    """A function's values by class word; few words have many tokens."""
+
+    def __init__(self, function):
+        super().__init__()
+        self.function = function
+
+    def __missing__(self, word: str):
+        if len(self) >= CACHED_WORDS:
+            self.clear()
+        value = self[word] = self.function(word)
+        return value
+
+
+def ordinary_tokens(docs: DataFrame, text_column: str, automata: list[Automaton]) -> dict[str, float]:
+    """Log probabilities of a symbol after another (``^`` begins, ``$`` ends), counted over ordinary tokens."""
+    sent = docs.sparkSession.sparkContext.broadcast(automata)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        automata = sent.value
+        ordinary = Cached(lambda word: is_ordinary(word, automata))
+        times: dict[str, int] = {}
+        for batch in batches:
+            for scan in scans(batch.column(0)):
+                words, of = scan.class_words()
+                for word, n in zip(words, np.bincount(of, minlength=len(words)).tolist(), strict=True):
+                    if ordinary[word]:
+                        framed = f"^{word}$"
+                        for i in range(len(framed) - 1):
+                            step = framed[i : i + 2]
+                            times[step] = times.get(step, 0) + n
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(list(times), pa.string()), pa.array(list(times.values()), pa.int64())], ["step", "n"]
+        )
+
     counts = (
-        found.select(F.explode("tokens").alias("token"))
-        .select(F.explode(steps).alias("step"))
+        docs.select(F.col(text_column).cast("string"))
+        .mapInArrow(count, "step string, n bigint")
         .groupBy("step")
-        .count()
+        .agg(F.sum("n").alias("n"))
         .collect()  # at most 13 * 13 rows
     )
     alphabet = "0azAZ+/_.=-$"
     times = {a + b: 1 for a in "^" + alphabet for b in alphabet}
     for row in counts:
-        times[row["step"]] += row["count"]
+        times[row["step"]] += row["n"]
     totals = {a: sum(times[a + b] for b in alphabet) for a in "^" + alphabet}
     return {step: math.log(n / totals[step[0]]) for step, n in times.items()}
 
@@ -278,44 +342,62 @@ def format_score(token: str, automata: list[Automaton], ordinary: dict[str, floa
     return (best - base) / len(framed)
 
 
+def is_credential(word: str, automata: list[Automaton], ordinary: dict[str, float]) -> bool:
+    score = format_score(word, automata, ordinary)
+    return score >= THRESHOLD and score * (len(word) + 2) >= EVIDENCE
+
+
 def secret_spans(docs: DataFrame, carried: list[str] | None = None, text_column: str = "text") -> DataFrame:
     """``row`` (the carried columns, all by default), ``n_assign``, ``n_access``, ``n_hex``,
     ``base_sha256``, ``n_format`` and ``spans`` for every row.
 
     Spans are ``kind:begin:end`` in code points, end exclusive, ordered by begin and
-    kind. Pattern matches stay as they are; a learned span is a maximal run of 16 or
-    more token characters that overlaps none of them and scores ``THRESHOLD`` or more.
-    Without any match nothing is learned and no span added. A NULL text is empty;
-    repeated rows are scanned alike; other columns stay inside ``row``.
+    kind. Pattern matches stay as they are; a learned span is a maximal run of 6 or
+    more token characters that overlaps none of them and scores ``THRESHOLD`` a symbol
+    and ``EVIDENCE`` as a whole, or more. Without any match nothing is learned and no
+    span added. A NULL text is empty; repeated rows are scanned alike; other columns
+    stay inside ``row``.
     """
     carried = list(docs.columns if carried is None else carried)
-    found = saved(scanned(docs, carried, text_column), "secret-candidates")
-    model = docs.sparkSession.sparkContext.broadcast((learned_automata(found), ordinary_tokens(found)))
-    row_type = found.schema["row"].dataType.simpleString()
+    automata = learned_automata(saved(labelled(docs, text_column), "labelled-secrets"))
+    ordinary = ordinary_tokens(docs, text_column, automata) if automata else {}
+    model = docs.sparkSession.sparkContext.broadcast((automata, ordinary))
+    used = list(dict.fromkeys([*carried, text_column]))
+    row_type = docs.select(*carried).schema.simpleString()
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         automata, ordinary = model.value
+        credential = Cached(lambda word: is_credential(word, automata, ordinary))
         for batch in batches:
+            rows = batch.column(0)
             counts: list[list[int]] = [[], [], [], []]
             digests, all_spans = [], []
-            for spans, tokens in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
-                base = [(s["begin"], s["kind"], s["end"]) for s in spans]
-                extra = [
-                    (t["begin"], len(KINDS), t["end"])
-                    for t in tokens
-                    if format_score(t["value"], automata, ordinary) >= THRESHOLD
-                ]
-                for kind in range(len(KINDS) + 1):
-                    counts[kind].append(sum(s[1] == kind for s in base + extra))
-                texts = [
-                    ",".join(f"{(*KINDS, LEARNED)[k]}:{b}:{e}" for b, k, e in sorted(chosen))
-                    for chosen in (base, base + extra)
-                ]
-                digests.append(hashlib.sha256(texts[0].encode()).hexdigest())
-                all_spans.append(texts[1])
+            for scan in scans(rows.field(rows.type.get_field_index(text_column)).cast(pa.string())):
+                extras: list[list] = [[] for _ in scan.spans]
+                if automata:
+                    words, of = scan.class_words()
+                    hit = np.array([len(w) >= ASSIGN_VALUE and credential[w] for w in words], bool)
+                    found = np.flatnonzero(hit[of]) if len(of) else of
+                    row_of = np.searchsorted(scan.bounds, scan.begins[found], side="right") - 1
+                    for r, t in zip(row_of.tolist(), found.tolist(), strict=True):
+                        at = scan.place[scan.bounds[r]]
+                        extras[r].append(
+                            (int(scan.place[scan.begins[t]] - at), len(KINDS), int(scan.place[scan.ends[t]] - at))
+                        )
+                for spans, extra in zip(scan.spans, extras, strict=True):
+                    base = [(s[1], s[0], s[2]) for s in spans]
+                    for kind in range(len(KINDS) + 1):
+                        counts[kind].append(sum(s[1] == kind for s in base + extra))
+                    texts = [
+                        ",".join(f"{(*KINDS, LEARNED)[k]}:{b}:{e}" for b, k, e in sorted(chosen))
+                        for chosen in (base, base + extra)
+                    ]
+                    digests.append(hashlib.sha256(texts[0].encode()).hexdigest())
+                    all_spans.append(texts[1])
+            kept = pa.StructArray.from_arrays([rows.field(rows.type.get_field_index(c)) for c in carried], carried)
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column(0),
+                    kept,
                     *[pa.array(c, pa.int64()) for c in counts],
                     pa.array(digests, pa.string()),
                     pa.array(all_spans, pa.string()),
@@ -323,7 +405,7 @@ def secret_spans(docs: DataFrame, carried: list[str] | None = None, text_column:
                 ["row", "n_assign", "n_access", "n_hex", "n_format", "base_sha256", "spans"],
             )
 
-    return found.mapInArrow(
+    return docs.select(F.struct(*used).alias("row")).mapInArrow(
         score,
         f"row {row_type}, n_assign bigint, n_access bigint, n_hex bigint, n_format bigint, "
         "base_sha256 string, spans string",
