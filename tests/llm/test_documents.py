@@ -68,6 +68,30 @@ def test_line_dedup_of_null_ids_comes_last(spark):
     ]
 
 
+def test_line_dedup_takes_lines_of_each_row_alone(spark):
+    rng = random.Random(12)
+    line, *own = (fixtures.prose(rng, 12) for _ in range(7))
+    rows = [
+        (1, f"{own[0]}\n{line}"),
+        (None, f"{own[1]}\n{line}"), (None, f"{own[2]}\n{own[3]}"),
+        (5, f"{own[4]}\n{line}"), (5, f"{line}\n{own[5]}"),
+        (None, own[0]), (None, own[0]),
+    ]
+    found = line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert sorted((r["doc_id"] or 0, r["text"], r["n_lines"], r["n_dropped"]) for r in found) == sorted([
+        (1, rows[0][1], 2, 0), (0, own[1], 2, 1), (0, rows[2][1], 2, 0), (5, own[4], 2, 1), (5, own[5], 2, 1),
+        (0, "", 1, 1), (0, "", 1, 1),
+    ])
+
+
+def test_line_dedup_keeps_one_of_repeated_rows(spark):
+    rows = [(None, "a line of many words")] * 3 + [(4, "some other words here")] * 2
+    found = line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert sorted((r["text"], r["n_dropped"]) for r in found) == [
+        ("", 1), ("", 1), ("", 1), ("a line of many words", 0), ("some other words here", 0)
+    ]
+
+
 def test_quality_base_counts(docs):
     found = quality.quality_rules(docs)
     assert found.select("row.*").columns == docs.columns
