@@ -140,3 +140,17 @@ def test_stream_picks_up_new_pages_once(spark, tmp_path):
     land(source, "b.json", page("p2", [ticket(3, subject="three")]))
     assert run() == [("1", "one"), ("3", "three")]
     assert run() == [("1", "one"), ("3", "three")]
+
+
+def test_landed_edges_loses_no_response_of_a_large_order(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from ticketloom.workload import pages as workload
+
+    part = F.col("id").alias("l_partkey")
+    lineitem = spark.range(5000).select(
+        F.lit(1).cast("bigint").alias("l_orderkey"), part, F.lit(3).cast("bigint").alias("l_suppkey"),
+        F.lit("N").alias("l_returnflag"), F.lit("O").alias("l_linestatus"),
+    )
+    lineitem.write.parquet(f"{tmp_path}/lineitem.parquet")
+    assert workload.landed_edges(spark, str(tmp_path)).count() == 5001

@@ -1,11 +1,12 @@
 """Landed responses: the tables' rows written as response bodies, then parsed and flattened.
 
-A body is built from one row, so building it neither shuffles nor gathers a group.
+A body is built from one row, so building it neither shuffles nor gathers a group, unless a
+query groups or numbers pages.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ticketloom import schemas
@@ -180,8 +181,10 @@ def landed_tickets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def landed_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
-    responses = _association_pages(spark, sf_dir).withColumn("page", F.xxhash64("results"))
-    line = F.struct("ticket_id", F.pmod("page", F.lit(1 << 20)).alias("page"), "status", "results")
+    """Each different response of a ticket is a page, numbered so that no two share one."""
+    responses = _association_pages(spark, sf_dir).select("ticket_id", "status", "results").distinct()
+    number = F.row_number().over(Window.partitionBy("ticket_id").orderBy("results")) - 1
+    line = F.struct("ticket_id", number.alias("page"), "status", "results")
     path = _landed(responses.select(F.to_json(line).alias("body")), "landed-responses")
     edges = load_associations(spark, path).edges
     return edges.select("ticket_id", "association_id", "association_type", "association_category").distinct()
