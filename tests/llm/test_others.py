@@ -14,6 +14,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+import corpus_pipeline
 from llm import brute, fixtures
 from ticketloom.llm import chat, components, packing, secrets, urls, warc, wordhash
 from ticketloom.llm.queries import TOKENIZER
@@ -115,6 +116,17 @@ def test_many_unlabelled_keys_are_found_as_few_are(spark, n, length):
     assert all(rows[i]["spans"] == f"format:4:{4 + length}" for i, _ in hidden if rows[i]["n_format"])
 
 
+def test_pipeline_leaves_one_row_of_each_group(spark):
+    rng = random.Random(4)
+    one, two, three, alone = (fixtures.prose(rng, 80) for _ in range(4))
+    rows = [(None, one)] * 3 + [(5, two)] * 2 + [(None, three), (9, three), (9, alone), (None, None), (None, None)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    left = corpus_pipeline.near_dedup(spark, docs, "")
+    assert left.columns == docs.columns
+    expected = [(None, one), (5, two), (9, three), (9, alone), (None, None), (None, None)]
+    assert sorted(map(tuple, left.collect()), key=repr) == sorted(expected, key=repr)
+
+
 def test_merged_automaton_keeps_the_words_of_its_tree():
     words = ["ab" * k for k in range(1, 6)] * 4 + ["c"]
     tree, merged = secrets.Automaton.prefix_tree(words), secrets.Automaton.prefix_tree(words).merged()
