@@ -41,6 +41,29 @@ def test_near_duplicates_of_repeated_and_null_ids(spark):
     ]
 
 
+def test_sketches_of_few_shingles_rarely_miss_a_link():
+    import numpy as np
+
+    rng = np.random.default_rng(1)
+    missed = 0
+    for _ in range(10_000):  # links at a similarity of 0.8 exactly
+        x = rng.integers(0, 1 << 64, 10, dtype=np.uint64)
+        same = neardup._sketches(x[:9]) == neardup._sketches(x[[*range(8), 9]])
+        missed += not (same[: neardup.SKETCHES].any() and same[neardup.SKETCHES :].any())
+    assert missed <= 8
+
+
+def test_bands_of_short_lines_rarely_miss_a_link(spark):
+    rng = random.Random(7)
+    lines = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz ", k=15)) for _ in range(4000)]
+    rows = [(i, f"{x}!\n{x}?", i) for i, x in enumerate(lines)]  # 8 of 10 shingles in both
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, number bigint")
+    found = line_dedup._classes(line_dedup._lines(docs, "doc_id", "text", "number")).groupBy("first_row")
+    pairs = found.agg(F.collect_list("bands").alias("b"))
+    missed = pairs.where(~F.arrays_overlap(F.col("b")[0], F.col("b")[1])).count()
+    assert missed <= 12
+
+
 def test_large_group_of_near_copies_is_not_paired(spark):
     rng = random.Random(5)
     base = fixtures.prose(rng, 120)

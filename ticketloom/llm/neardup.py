@@ -21,7 +21,7 @@ from ticketloom.llm.wordhash import chunks, mixed
 
 SKETCHES = 18
 ROWS = 4
-_POINTS = mixed(np.arange(2 * SKETCHES * ROWS, dtype=np.uint64), 7).view(np.int64)
+_FACTORS = (mixed(np.arange(2 * SKETCHES * ROWS, dtype=np.uint64), 7) | np.uint64(1)).view(np.int64)
 
 
 def shingle_sets(column: pa.Array, width: int) -> Iterator[np.ndarray]:
@@ -50,13 +50,17 @@ def shingle_sets(column: pa.Array, width: int) -> Iterator[np.ndarray]:
 
 
 def _sketches(shingles: np.ndarray) -> np.ndarray:
-    """Each minhash is the shingle nearest to a random point by exclusive or."""
+    """Each minhash is the least product of a shingle and an odd factor of its own, modulo 2^64.
+
+    The leading bits of a product depend on all of the shingle's, so minhashes of few
+    shingles are as good as independent; distances to points by exclusive or are not.
+    """
     if len(shingles) == 0:
         return np.zeros(2 * SKETCHES, np.int64)
-    least = np.full(len(_POINTS), np.iinfo(np.int64).max)
-    flipped = shingles.view(np.int64) ^ np.int64(-(1 << 63))
-    for part in range(0, len(flipped), 256):
-        block = (flipped[part : part + 256, None] ^ _POINTS).min(axis=0)
+    least = np.full(len(_FACTORS), np.iinfo(np.int64).max)
+    whole = shingles.view(np.int64)
+    for part in range(0, len(whole), 256):
+        block = (whole[part : part + 256, None] * _FACTORS).min(axis=0)
         np.minimum(least, block, out=least)
     out = np.zeros(2 * SKETCHES, np.uint64)
     for row in range(ROWS):
