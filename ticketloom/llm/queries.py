@@ -6,8 +6,23 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-
-from ticketloom.llm import chat, decontaminate, line_dedup, neardup, packing, phrases, quality, secrets, urls, warc
+from pyspark.sql import functions as F
+
+from ticketloom.llm import (
+    additive,
+    chat,
+    decontaminate,
+    divergence,
+    line_dedup,
+    merkle,
+    neardup,
+    packing,
+    phrases,
+    quality,
+    secrets,
+    urls,
+    warc,
+)
 from ticketloom.llm.shared import table
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -222,6 +237,145 @@ SELECT page_id, payload_bytes, payload_digest,
 FROM grouped
 """
 
+
+def merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Claimed are the rows after a tampering that deletes line breaks of about every other text."""
+    docs = table(spark, sf_dir, "documents")
+    tampered = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0, F.lit(False))
+    text = F.when(tampered, F.replace("text", F.lit("\n"), F.lit(""))).otherwise(F.col("text"))
+    claimed = [text if f == "text" else F.col(f) for f in merkle.FIELDS]
+    found = merkle.document_proofs(docs, claimed=claimed)
+    siblings = F.transform("path", lambda step: F.concat(step["left"], step["right"]))
+    proof = F.sha2(F.array_join(siblings, "").cast("binary"), 256).alias("proof_sha256")
+    return found.select(F.col("id").alias("doc_id"), "leaf", "subroot", "root", proof, "folded_root", "verified")
+
+
+def _leaf_sql(text: str) -> str:
+    values = ["doc_id", "source", "lang", "n_chars", text]
+    codes = [f"coalesce(strlen({v}::VARCHAR) || ':' || {v}::VARCHAR, '-')" for v in values]
+    return f"sha256({' || '.join(codes)})"
+
+
+def _crc32_sql(text: str) -> str:
+    """CRC-32 of a short ASCII text, bit by bit: the polynomial is the fixed value."""
+    bit = "CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END"
+    byte = f"list_reduce(list_prepend(xor(crc, ascii(ch)::BIGINT), range(0, 8)), lambda c, k: {bit})"
+    chars = f"list_transform(range(1, length({text}) + 1), lambda i: ascii(substr({text}, i::INT, 1))::BIGINT)"
+    step = byte.replace("ascii(ch)::BIGINT", "ch")
+    return f"xor(list_reduce(list_prepend(4294967295::BIGINT, {chars}), lambda crc, ch: {step}), 4294967295)"
+
+
+def _levels_sql(name: str, start: str) -> str:
+    """Nodes ``(tree, level, i, m, h)`` of all trees: ``m`` nodes at a level, merged by threes."""
+    return f"""{name} AS (
+  {start}
+  UNION ALL
+  SELECT tree, level + 1, i // 3, (m + 2) // 3, sha256(string_agg(h, '' ORDER BY i))
+  FROM {name} WHERE m > 1 GROUP BY tree, level, i // 3, m
+)"""
+
+
+def _sides_sql(nodes: str) -> str:
+    run = "PARTITION BY tree, level, i // 3 ORDER BY i ROWS BETWEEN"
+    return f"""SELECT tree, level, i,
+    coalesce(string_agg(h, '') OVER ({run} UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS l,
+    coalesce(string_agg(h, '') OVER ({run} 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS r
+  FROM {nodes} WHERE m > 1"""
+
+
+MERKLE_SQL = f"""
+WITH RECURSIVE leaves AS (
+  SELECT doc_id, source, {_leaf_sql("text")} AS leaf,
+    {_leaf_sql("CASE WHEN crc % 2 = 0 THEN replace(text, chr(10), '') ELSE text END")} AS claimed
+  FROM (SELECT *, {_crc32_sql("doc_id::VARCHAR")} AS crc FROM documents)
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id, leaf) - 1 AS i,
+    count(*) OVER (PARTITION BY source) AS n FROM leaves
+), {_levels_sql("nodes", "SELECT source AS tree, 0 AS level, i, n AS m, leaf AS h FROM placed")}
+, subroots AS (
+  SELECT tree AS source, h AS subroot, row_number() OVER (ORDER BY tree NULLS FIRST) - 1 AS i,
+    count(*) OVER () AS n FROM nodes WHERE m = 1
+), {_levels_sql("tops", "SELECT 0 AS tree, 0 AS level, i, n AS m, subroot AS h FROM subroots")}
+, sides AS ({_sides_sql("nodes")}), top_sides AS ({_sides_sql("tops")})
+, up AS (
+  SELECT doc_id, source, leaf, i AS place, i, 0 AS level, claimed AS h, '' AS proof FROM placed
+  UNION ALL
+  SELECT doc_id, source, leaf, place, up.i // 3, up.level + 1, sha256(l || h || r), proof || l || r
+  FROM up JOIN sides s ON s.tree IS NOT DISTINCT FROM source AND s.level = up.level AND s.i = up.i
+), folded AS (
+  SELECT * FROM up QUALIFY row_number() OVER (PARTITION BY source, place ORDER BY level DESC) = 1
+), higher AS (
+  SELECT doc_id, leaf, subroot, f.source, place, s.i, 0 AS level, h, proof
+  FROM folded f JOIN subroots s ON s.source IS NOT DISTINCT FROM f.source
+  UNION ALL
+  SELECT doc_id, leaf, subroot, source, place, u.i // 3, u.level + 1, sha256(l || h || r), proof || l || r
+  FROM higher u JOIN top_sides s ON s.level = u.level AND s.i = u.i
+)
+SELECT doc_id, leaf, subroot, root, sha256(proof) AS proof_sha256, h AS folded_root, h = root AS verified
+FROM (SELECT * FROM higher QUALIFY row_number() OVER (PARTITION BY source, place ORDER BY level DESC) = 1),
+  (SELECT h AS root FROM tops WHERE m = 1)
+"""
+
+
+QUALITY_THRESHOLD = 0.3
+
+
+def quality_additive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The labels of a fifth of the ids, by their checksum, are left for measuring."""
+    held_out = lambda c: F.coalesce(F.crc32(F.col(c).cast("string").cast("binary")) % 5 == 0, F.lit(False))
+    labels = table(spark, sf_dir, "labels").where(~held_out("doc_id"))
+    found = additive.quality_scores(table(spark, sf_dir, "documents"), labels, carried=["doc_id"])
+    predicted = (F.col("score") >= QUALITY_THRESHOLD).cast("int").alias("predicted")
+    return found.select("row.doc_id", held_out("row.doc_id").alias("held_out"), "score", predicted)
+
+
+def source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.source_divergence(table(spark, sf_dir, "documents"))
+
+
+def _scaled_sql(count: str, total: str) -> str:
+    return f"(1 + 1000000000::HUGEINT * ({count} + 2) // ({total}))"
+
+
+DIVERGENCE_SQL = rf"""
+WITH docs AS (
+  SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w
+  FROM documents
+), words AS (
+  SELECT r, lang, source, unnest(w) AS term FROM docs
+), kept AS (
+  SELECT lang, term FROM words GROUP BY lang, term HAVING count(DISTINCT r) >= {divergence.MIN_DOCS}
+), counted AS (
+  SELECT lang, source, term, count(*) AS n FROM words GROUP BY lang, source, term
+), groups AS (
+  SELECT DISTINCT lang, source FROM docs
+), counts AS (
+  SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n
+  FROM groups g JOIN kept k ON k.lang = g.lang
+  LEFT JOIN counted c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term
+), p AS (
+  SELECT *, {_scaled_sql("n", "sum(n) OVER g + 2 * count(*) OVER g")} AS p
+  FROM counts WINDOW g AS (PARTITION BY lang, source)
+), q AS (
+  SELECT lang, term, {_scaled_sql("sum(n)", "sum(sum(n)) OVER g + 2 * count(*) OVER g")} AS q
+  FROM counts GROUP BY lang, term WINDOW g AS (PARTITION BY lang)
+), pairs AS (
+  SELECT a.lang, a.source, b.source AS item, sum((x.p - y.p) * (x.p - y.p) // (x.p + y.p)) AS value
+  FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN p x ON x.lang = a.lang AND x.source = a.source
+  LEFT JOIN p y ON y.lang = b.lang AND y.source = b.source AND y.term = x.term
+  GROUP BY a.lang, a.source, b.source
+), found AS (
+  SELECT lang, source, 'pair' AS part, item, coalesce(value, 0) AS value FROM pairs
+  UNION ALL
+  SELECT lang, source, 'term', term, (p - q) * (p - q) // (p + q) FROM p JOIN q USING (lang, term) WHERE n > 0 AND p > q
+)
+SELECT lang, source, part, item, value::BIGINT AS value,
+  row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INT AS rank
+FROM found QUALIFY part = 'pair' OR rank <= {divergence.TOP_TERMS}
+"""
+
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
     "op1_line_dedup": (line_dedup_minhash, None),
     "op2_quality_perplexity": (quality_perplexity, None),
@@ -233,4 +387,7 @@ QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "op8_minhash_near_dedup": (minhash_near_dedup, MINHASH_SQL),
     "op9_url_filter": (url_filter, _url_sql()),
     "op10_warc_dictionary": (warc_archives, WARC_SQL),
+    "op11_merkle_manifest": (merkle_manifest, MERKLE_SQL),
+    "op12_quality_additive": (quality_additive, None),
+    "op13_source_divergence": (source_divergence, DIVERGENCE_SQL),
 }
