@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 from functools import reduce
 from typing import NamedTuple
 
@@ -12,6 +13,7 @@ from pyspark.sql import functions as F
 from ticketloom import schemas
 from ticketloom.operators import associations as assoc
 from ticketloom.operators import pages
+from ticketloom.operators.chains import ordered_tickets, page_order
 from ticketloom.session import staged
 from ticketloom.sinks.csv_files import write_csv, write_csv_run
 from ticketloom.sources import landed
@@ -36,6 +38,37 @@ def load_tickets(spark: SparkSession, path: str, allow_partial: bool = False) ->
     )
 
 
+class BrokenChains(RuntimeError):
+    """The landed pages are not one unbroken, unambiguous chain per run."""
+
+
+class OrderedTickets(NamedTuple):
+    tickets: DataFrame
+    faults: DataFrame
+
+
+def load_ordered_tickets(
+    spark: SparkSession, path: str, chain: Sequence[str] = (), allow_partial: bool = False
+) -> OrderedTickets:
+    """All landed tickets with their page and place, and what is wrong with the pages' chains.
+
+    Any fault (see ``page_order``) is an error unless partial data is allowed; then tickets
+    of detached pieces name the cursor their piece begins at, and those of pages on a
+    ring have no page.
+    """
+    landed_pages = staged(landed.read_ticket_pages(spark, path), "ticket-pages")
+    order = page_order(landed_pages, chain)
+    if not allow_partial:
+        found = order.faults.orderBy("kind", "cursor", "following").limit(5).collect()
+        if found:
+            raise BrokenChains(f"faults of the page chain: {[tuple(r) for r in found]}")
+    tickets = ordered_tickets(landed_pages, order.places, chain)
+    keep = [*chain, "piece", "page", "place", "id"]
+    return OrderedTickets(
+        pages.project_properties(tickets, schemas.TICKET_PROPERTIES, keep=keep), order.faults
+    )
+
+
 class Associations(NamedTuple):
     edges: DataFrame
     rejected: DataFrame
@@ -62,7 +95,7 @@ def load_associations(
         rejected = pages.rejected_responses(responses).select("ticket_id", "status")
         found.append(Associations(pages.association_edges(responses), rejected))
     if batch_path is not None:
-        batches = landed.read_batch_responses(spark, batch_path)
+        batches = staged(landed.read_batch_responses(spark, batch_path), "batch-responses")
         edges = staged(pages.batch_edges(batches).distinct(), "batch-edges")
         rejected = pages.rejected_responses(batches).select(F.lit(None).cast("string").alias("ticket_id"), "status")
         found.append(Associations(edges, rejected))

@@ -14,9 +14,9 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def registry() -> dict[str, tuple[Query, str | None]]:
-    from ticketloom.workload import associations, language, pages, tickets
+    from ticketloom.workload import associations, chains, language, pages, tickets
 
     merged: dict[str, tuple[Query, str | None]] = {}
-    for module in (tickets, associations, pages, language):
+    for module in (tickets, associations, pages, chains, language):
         merged.update(module.QUERIES)
     return merged
