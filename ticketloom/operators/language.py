@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from ticketloom.functions import language as lang
 from ticketloom.functions import text as txt
 from ticketloom.functions.vocabulary import GLOSSARIES, STOP_WORDS
+from ticketloom.operators.language_model import LanguageModel
 
 
 def clean_content(df: DataFrame, column: str = "content") -> DataFrame:
@@ -31,11 +32,16 @@ def detect_language(
     stop_words: Mapping[str, Sequence[str]] = STOP_WORDS,
     detector: lang.Provider | None = None,
     batch_size: int | None = None,
+    model: LanguageModel | None = None,
 ) -> DataFrame:
     """Add ``detected_language``; blank text is 'unknown', a failed detector 'error'.
 
-    The built-in detector scores the whole text by the stop words that occur in it.
+    ``model`` is a trained detector (``train_language_model``) and knows the languages it
+    was trained on. Without one, and without a ``detector``, the whole text is scored by the
+    stop words that occur in it. All of them read whole texts.
     """
+    if model is not None:
+        return df.withColumn("detected_language", model.detect(txt.null_to_empty(F.col(column))))
     if detector is None:
         text = txt.null_to_empty(F.col(column))
         return df.withColumn("detected_language", lang.detected_language(text, stop_words))
@@ -79,6 +85,7 @@ def translate_content(
     detector: lang.Provider | None = None,
     max_chars: int | None = None,
     batch_size: int | None = None,
+    model: LanguageModel | None = None,
 ) -> DataFrame:
     """Add ``detected_language`` and ``translated_content``.
 
@@ -87,7 +94,7 @@ def translate_content(
     ``max_chars`` cuts texts first. Only rows to be translated reach the provider. Without one,
     the source language's glossary is substituted word for word.
     """
-    detected = detect_language(df, column, detector=detector, batch_size=batch_size)
+    detected = detect_language(df, column, detector=detector, batch_size=batch_size, model=model)
     routed = route_content(detected, column, source, max_chars)
     asked = F.when(F.col("action") == lang.TRANSLATE, F.col("kept_content"))
     if provider is not None:

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from ticketloom import schemas
 from ticketloom.functions import language as lang
 from ticketloom.operators import language as ops
+from ticketloom.operators.language_model import LanguageModel
 from ticketloom.sinks.csv_files import write_csv
 from ticketloom.sources.csv_files import read_csv
 
@@ -27,6 +28,7 @@ def process_email_content(
     max_chars: int | None = None,
     batch_size: int | None = None,
     partitions: int | None = None,
+    model: LanguageModel | None = None,
 ) -> DataFrame:
     """Clean, detect and translate the ``content`` column and overwrite ``output_path``.
 
@@ -42,6 +44,7 @@ def process_email_content(
         detector=detector,
         max_chars=max_chars,
         batch_size=batch_size,
+        model=model,
     )
     write_csv(result, output_path, mode="overwrite")
     return read_csv(spark, output_path, result.schema)
