@@ -25,7 +25,7 @@ MIN_DOCS = 10
 TOP_TERMS = 10
 SLICE_BYTES = 4 << 20
 MERGE_ROWS = 1 << 19
-CELLS = 1 << 20
+CELLS = 1 << 17
 PARTIAL = "lang string, source string, term string, n bigint, docs bigint"
 FOUND = "lang string, source string, part string, item string, value bigint"
 KEYS = ["lang", "source", "term"]
