@@ -13,7 +13,10 @@ from pyspark.sql import functions as F
 from ticketloom.functions import language as lang
 from ticketloom.functions import text as txt
 from ticketloom.functions.vocabulary import GLOSSARIES, STOP_WORDS
+from ticketloom.operators.answers import ask_once
 from ticketloom.operators.language_model import LanguageModel
+from ticketloom.operators.phrases import substitute_phrases
+from ticketloom.session import staged
 
 
 def clean_content(df: DataFrame, column: str = "content") -> DataFrame:
@@ -86,18 +89,29 @@ def translate_content(
     max_chars: int | None = None,
     batch_size: int | None = None,
     model: LanguageModel | None = None,
+    phrases: DataFrame | None = None,
+    store: str | None = None,
 ) -> DataFrame:
     """Add ``detected_language`` and ``translated_content``.
 
     Blank text gives ('unknown', ''); the source language its translation; any other
     language the text itself; a failed detection or translation ('error', the text).
     ``max_chars`` cuts texts first. Only rows to be translated reach the provider. Without one,
-    the source language's glossary is substituted word for word.
+    the table of ``phrases`` (see ``substitute_phrases``) is looked up if there is one, else
+    the source language's glossary is substituted word for word. With a ``store`` (a folder, see
+    ``ask_once``) the provider's answers are kept there and never asked for again.
     """
     detected = detect_language(df, column, detector=detector, batch_size=batch_size, model=model)
     routed = route_content(detected, column, source, max_chars)
     asked = F.when(F.col("action") == lang.TRANSLATE, F.col("kept_content"))
-    if provider is not None:
+    if provider is None and phrases is not None:
+        routed = substitute_phrases(routed.withColumn("__asked", asked), "__asked", phrases, "__found").drop("__asked")
+        answer = F.col("__found")
+    elif provider is not None and store is not None:
+        kept = staged(routed.withColumn("__asked", asked), "routed-texts")
+        routed = ask_once(kept, "__asked", "__found", store, provider, batch_size).rows.drop("__asked")
+        answer = F.col("__found")
+    elif provider is not None:
         answer = lang.ask_provider(asked, provider, batch_size)
     else:
         answer = lang.glossary_text(asked, glossary if glossary is not None else GLOSSARIES[source])
@@ -112,7 +126,7 @@ def translate_content(
                 "translated_content": F.coalesce("__answer", "kept_content"),
             }
         )
-        .drop("__answer", "action", "kept_content")
+        .drop("__answer", "__found", "action", "kept_content")
     )
 
 

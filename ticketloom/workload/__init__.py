@@ -14,9 +14,9 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def registry() -> dict[str, tuple[Query, str | None]]:
-    from ticketloom.workload import associations, chains, detector, language, pages, tickets
+    from ticketloom.workload import answers, associations, chains, detector, language, pages, phrases, tickets
 
     merged: dict[str, tuple[Query, str | None]] = {}
-    for module in (tickets, associations, pages, chains, language, detector):
+    for module in (tickets, associations, pages, chains, language, detector, phrases, answers):
         merged.update(module.QUERIES)
     return merged
