@@ -267,6 +267,19 @@ def digest(df):
     return df.agg(F.count("*"), F.sum(F.xxhash64(*df.columns).cast("decimal(38,0)")))
 
 
+def test_tickets_without_id_are_kept_where_they_lie(spark, conf):
+    conf(spark__sql__autoBroadcastJoinThreshold="-1", spark__sql__adaptive__coalescePartitions__enabled="false")
+    even = F.col("id") % 2 == 0
+    t = spark.range(0, 8_000, 1, 8).select(F.when(even, F.col("id").cast("string")).alias("id"), F.col("id").alias("n"))
+    e = spark.createDataFrame([("2", "x"), ("2", "y"), (None, "z")], "ticket_id string, association_id string")
+    merged = ops.merge_associations(t, e)
+    plain = t.join(e, t.id == e.ticket_id, "left")
+    assert merged.count() == plain.count() == 8_001
+    assert values(digest(merged)) == values(digest(plain))
+    tasks = merged.where("id IS NULL").groupBy(F.spark_partition_id().alias("task")).count()
+    assert tasks.agg(F.max("count")).first()[0] <= 500
+
+
 def test_copies_of_one_edge_are_dealt_out_too(spark):
     t = tickets_of(spark, "7", "8", "9", None)
     copies = spark.range(0, 5000, 1, 16).select(

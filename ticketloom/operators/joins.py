@@ -100,12 +100,14 @@ def left_join_to_many(
     key are dealt into shares, and the left row of a hot key is repeated once per share.
     A hot key has right rows by definition, so a repeated left row that found its share
     empty is dropped; any other left row occurs once and keeps the outer join's meaning.
+    Left rows with a NULL key match nothing and are added where they lie: in the join they
+    would all meet in one task.
     """
     _check_columns(left, right)
     hot = F.broadcast(hot_keys(right, right_key, rows_per_share))
     same_key = F.col(left_key) == F.col(right_key)
-    return (
-        _repeat(left, left_key, hot)
+    joined = (
+        _repeat(left.where(F.col(left_key).isNotNull()), left_key, hot)
         .join(
             _deal(right, right_key, hot),
             same_key & (F.col("__share") == F.col("__dealt_share")),
@@ -114,6 +116,8 @@ def left_join_to_many(
         .where(F.col(_SHARES).isNull() | F.col(right_key).isNotNull())
         .select(*left.columns, *right.columns)
     )
+    absent = [F.lit(None).cast(right.schema[c].dataType).alias(c) for c in right.columns]
+    return joined.unionByName(left.where(F.col(left_key).isNull()).select("*", *absent))
 
 
 def join_many_to_one(

@@ -15,7 +15,7 @@ from ticketloom.operators import pages as ops
 from ticketloom.operators.associations import first_association, merge_associations
 from ticketloom.plans.associations import analyse_associations, known_tickets, load_associations, load_tickets
 from ticketloom.sinks.csv_files import write_csv
-from ticketloom.session import shared_path
+from ticketloom.session import shared_path, staged
 from ticketloom.sources.csv_files import read_csv
 from ticketloom.workload.tables import table
 
@@ -118,15 +118,19 @@ def rejected_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ops.rejected_responses(responses)
 
 
+_WITHIN_ORDER = ("l_linenumber", "l_partkey", "l_suppkey", "l_returnflag", "l_linestatus")
+
+
 def _paged_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A response per line item, paged by its price in cents. Those of flag 'A' landed twice, those
+    """A response per line item, numbered within its order. Those of flag 'A' landed twice, those
     of flag 'R' failed."""
-    lineitem = table(spark, sf_dir, "lineitem")
+    within = Window.partitionBy("l_orderkey").orderBy(*_WITHIN_ORDER)
+    lineitem = table(spark, sf_dir, "lineitem").withColumn("page", F.row_number().over(within) - 1)
     twice = F.when(F.col("l_returnflag") == "A", 2).otherwise(1)
     status = F.when(F.col("l_returnflag") == "R", "timeout").otherwise(ops.OK)
     body = F.struct(
         _text("l_orderkey").alias("ticket_id"),
-        F.round(F.col("l_extendedprice") * 100).cast("bigint").alias("page"),
+        F.col("page").cast("bigint").alias("page"),
         status.alias("status"),
         F.when(F.col("l_returnflag") != "R", _items()).alias("results"),
     )
@@ -148,13 +152,13 @@ def _orders_as_tickets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def known_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The merge that the job exports: without tickets of which a read failed."""
-    responses = _paged_responses(spark, sf_dir)
+    responses = staged(_paged_responses(spark, sf_dir), "paged-responses")
     known = known_tickets(_orders_as_tickets(spark, sf_dir), ops.rejected_responses(responses))
     return merge_associations(known, ops.association_edges(responses)).select("id", "pos", "association_id")
 
 
 def known_null_share(spark: SparkSession, sf_dir: str) -> DataFrame:
-    responses = _paged_responses(spark, sf_dir)
+    responses = staged(_paged_responses(spark, sf_dir), "paged-responses")
     return analyse_associations(
         _orders_as_tickets(spark, sf_dir), ops.association_edges(responses), ops.rejected_responses(responses)
     ).nulls
@@ -231,19 +235,18 @@ _ASSOCIATION_ROWS = """
            l_linestatus FROM lineitem
 """
 
-_PAGED = """
-    SELECT DISTINCT CAST(l_orderkey AS VARCHAR) AS ticket_id,
-           CAST(round(l_extendedprice * 100) AS BIGINT) * 4294967296 + place AS pos,
+_PAGED = f"""
+    SELECT CAST(l_orderkey AS VARCHAR) AS ticket_id, page * 4294967296 + place AS pos,
            CASE place WHEN 0 THEN CAST(l_partkey AS VARCHAR) ELSE CAST(l_suppkey AS VARCHAR) END AS association_id,
            CASE place WHEN 0 THEN 'part' ELSE 'supplier' END AS association_type,
            CASE place WHEN 0 THEN l_returnflag ELSE l_linestatus END AS association_category
-    FROM lineitem, (SELECT unnest([0, 1]) AS place)
+    FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY {", ".join(_WITHIN_ORDER)}) - 1 AS page FROM lineitem),
+         (SELECT unnest([0, 1]) AS place)
     WHERE l_returnflag <> 'R'
 """
 _KNOWN = """
     SELECT CAST(o_orderkey AS VARCHAR) AS id FROM orders
-    WHERE o_orderkey NOT IN (
-        SELECT l_orderkey FROM lineitem GROUP BY l_orderkey, l_extendedprice HAVING bool_and(l_returnflag = 'R'))
+    WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem WHERE l_returnflag = 'R')
 """
 
 QUERIES = {

@@ -40,23 +40,23 @@ def _of_length(n: int) -> str:
     """Places where a phrase of so many words occurs."""
     phrase = " || ' ' || ".join(["w", *(f"w{k}" for k in range(1, n))])
     apart = "".join(f" AND regexp_full_match(g{k}, '\\s+')" for k in range(1, n))
-    return f"""SELECT doc_id, pos, n_words, answer FROM following
+    return f"""SELECT r, pos, n_words, answer FROM following
       JOIN listed ON n_words = {n} AND phrase = {phrase} WHERE true{apart}"""
 
 
 _MATCHED = rf"""
     texts AS (
-      SELECT doc_id, lang, text, regexp_extract_all(lower(text), '\p{{L}}+') AS w,
+      SELECT row_number() OVER () AS r, doc_id, lang, text, regexp_extract_all(lower(text), '\p{{L}}+') AS w,
         regexp_extract_all(text, '\p{{L}}+') AS shown, string_split_regex(text, '\p{{L}}+') AS gaps
       FROM documents
     ), listed AS (
       SELECT array_to_string(w[1:n], ' ') AS phrase, len(w[1:n]) AS n_words, min('<' || lang || '-' || doc_id || '>') AS answer
       FROM texts, (SELECT unnest({list(LENGTHS)}) AS n) WHERE len(w) > 0 GROUP BY 1, 2
     ), places AS (
-      SELECT doc_id, unnest(range(1, len(w) + 1)) AS pos, unnest(w) AS w, unnest(shown) AS shown, unnest(gaps[2:]) AS gap
+      SELECT r, unnest(range(1, len(w) + 1)) AS pos, unnest(w) AS w, unnest(shown) AS shown, unnest(gaps[2:]) AS gap
       FROM texts
     ), following AS (
-      SELECT doc_id, pos, w, {_NEXT} FROM places WINDOW p AS (PARTITION BY doc_id ORDER BY pos)
+      SELECT r, pos, w, {_NEXT} FROM places WINDOW p AS (PARTITION BY r ORDER BY pos)
     ), matches AS (
       {" UNION ALL ".join(_of_length(n) for n in range(1, max(LENGTHS) + 1))}
     )
@@ -67,28 +67,28 @@ QUERIES = {
         phrase_substitution,
         f"""
         WITH {_MATCHED}, longest AS (
-          SELECT doc_id, pos, max(n_words) AS n_words, arg_max(answer, n_words) AS answer FROM matches GROUP BY doc_id, pos
+          SELECT r, pos, max(n_words) AS n_words, arg_max(answer, n_words) AS answer FROM matches GROUP BY r, pos
         ), folded AS (
           -- The first number is where the last one taken ends, the others are the places taken.
-          SELECT doc_id, list_reduce(list_prepend([0::BIGINT], list([pos, pos + n_words] ORDER BY pos)), lambda taken, x:
+          SELECT r, list_reduce(list_prepend([0::BIGINT], list([pos, pos + n_words] ORDER BY pos)), lambda taken, x:
             CASE WHEN x[1] >= taken[1] THEN list_prepend(x[2], list_append(taken[2:], x[1])) ELSE taken END) AS taken
-          FROM longest GROUP BY doc_id
+          FROM longest GROUP BY r
         ), taken AS (
-          SELECT doc_id, unnest(taken[2:]) AS pos FROM folded
+          SELECT r, unnest(taken[2:]) AS pos FROM folded
         ), swapped AS (
-          SELECT doc_id, pos, n_words, answer FROM longest SEMI JOIN taken USING (doc_id, pos)
+          SELECT r, pos, n_words, answer FROM longest SEMI JOIN taken USING (r, pos)
         ), covered AS (
-          SELECT doc_id, pos AS first, unnest(range(pos, pos + n_words)) AS pos, n_words, answer FROM swapped
+          SELECT r, pos AS first, unnest(range(pos, pos + n_words)) AS pos, n_words, answer FROM swapped
         ), pieces AS (
-          SELECT p.doc_id, p.pos, CASE WHEN c.first IS NULL THEN shown ELSE '' END
+          SELECT p.r, p.pos, CASE WHEN c.first IS NULL THEN shown ELSE '' END
             || CASE WHEN c.first = p.pos THEN c.answer ELSE '' END
             || CASE WHEN c.first IS NULL OR p.pos = c.first + c.n_words - 1 THEN gap ELSE '' END AS piece
-          FROM places p LEFT JOIN covered c ON c.doc_id = p.doc_id AND c.pos = p.pos
+          FROM places p LEFT JOIN covered c ON c.r = p.r AND c.pos = p.pos
         ), whole AS (
-          SELECT doc_id, string_agg(piece, '' ORDER BY pos) AS rest FROM pieces GROUP BY doc_id
+          SELECT r, string_agg(piece, '' ORDER BY pos) AS rest FROM pieces GROUP BY r
         )
         SELECT doc_id, CASE WHEN rest IS NULL THEN text ELSE gaps[1] || rest END AS translated_content
-        FROM texts LEFT JOIN whole USING (doc_id)
+        FROM texts LEFT JOIN whole USING (r)
         """,
     ),
     "phrase_occurrences": (
