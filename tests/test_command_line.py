@@ -8,6 +8,7 @@ import pytest
 from conftest import values
 from ticketloom import schemas
 from ticketloom.__main__ import main
+from ticketloom.sinks.csv_files import write_csv
 from ticketloom.sources.csv_files import read_csv
 
 
@@ -78,3 +79,18 @@ def test_warehouse_jobs(spark, tmp_path, capsys):
     assert values(found) == [("1", day, "s", "body")]
     main(["dump-tickets", *options(raw=tmp_path / "raw", output=tmp_path), *window])
     assert "property_hs_pipeline_stage" in capsys.readouterr().out
+
+
+def test_translation_with_a_trained_detector_and_phrases(spark, tmp_path, capsys):
+    texts = [("een vraag over de factuur van gisteren", "Dutch"), ("a question about the invoice of yesterday", "English")]
+    spark.createDataFrame(texts * 20, "text string, lang string").write.parquet(str(tmp_path / "texts"))
+    main(["train-languages", *options(texts=tmp_path / "texts", output=tmp_path / "model")])
+    spark.createDataFrame([("een vraag", "one question")], "phrase string, answer string").write.parquet(str(tmp_path / "phrases"))
+    emails = spark.createDataFrame(
+        [("1", "x", "s", "over de <b>factuur</b> een vraag", "t")], schemas.TICKET_EMAIL
+    )
+    write_csv(emails, str(tmp_path / "in"))
+    files = options(input=tmp_path / "in", output=tmp_path / "out", phrases=tmp_path / "phrases")
+    main(["translate-emails", *files, "--language-model", str(tmp_path / "model")])
+    out = capsys.readouterr().out
+    assert "over de factuur one question" in out and "Dutch" in out

@@ -7,11 +7,13 @@ import importlib
 from collections.abc import Sequence
 
 from ticketloom import schemas
+from ticketloom.operators.language_model import LanguageModel, train_language_model
 from ticketloom.operators.tickets import preview
 from ticketloom.plans import associations, emails, extract, subjects
 from ticketloom.session import build_session
 from ticketloom.sinks.csv_files import write_csv
 from ticketloom.sources import landed
+from ticketloom.sources.tables import read_table
 
 
 def _provider(name: str | None):
@@ -83,11 +85,19 @@ def expand(spark, args) -> None:
     _export(tables, f"{args.output.rstrip('/')}_report")
 
 
+def train(spark, args) -> None:
+    texts = read_table(spark, args.texts, args.format)
+    train_language_model(texts, args.text_column, args.language_column).write.mode("overwrite").parquet(args.output)
+    print(args.output)
+
+
 def translate(spark, args) -> None:
+    model = LanguageModel.of(spark.read.parquet(args.language_model)) if args.language_model else None
     result = emails.process_email_content(
         spark, args.input, args.output, schemas.TICKET_EMAIL, args.source_language,
         provider=_provider(args.provider), detector=_provider(args.detector),
         max_chars=args.max_chars, batch_size=args.batch_size, partitions=args.partitions,
+        model=model, phrases=spark.read.parquet(args.phrases) if args.phrases else None, store=args.answers,
     )
     shown = ["ticket_id", "detected_language", "translated_content"]
     preview(result, shown, ["ticket_id"]).show(truncate=False)
@@ -132,7 +142,15 @@ def _parser() -> argparse.ArgumentParser:
             p.add_argument("--seed", default="0")
             p.add_argument("--output", help="where to write the report's tables")
 
+    p = job("train-languages", train, "texts", "output")
+    p.add_argument("--format", default="parquet", help="a Spark source, or 'table'")
+    p.add_argument("--text-column", default="text")
+    p.add_argument("--language-column", default="lang")
+
     p = job("translate-emails", translate, "input", "output")
+    p.add_argument("--language-model", help="what train-languages wrote, default stop words")
+    p.add_argument("--phrases", help="Parquet with the columns phrase and answer, instead of the glossary")
+    p.add_argument("--answers", help="folder in which the provider's answers are kept")
     p.add_argument("--source-language", default="Dutch")
     p.add_argument("--provider", help="package.module:function, default the glossary")
     p.add_argument("--detector", help="package.module:function, default stop words")

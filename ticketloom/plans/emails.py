@@ -29,6 +29,8 @@ def process_email_content(
     batch_size: int | None = None,
     partitions: int | None = None,
     model: LanguageModel | None = None,
+    phrases: DataFrame | None = None,
+    store: str | None = None,
 ) -> DataFrame:
     """Clean, detect and translate the ``content`` column and overwrite ``output_path``.
 
@@ -45,6 +47,8 @@ def process_email_content(
         max_chars=max_chars,
         batch_size=batch_size,
         model=model,
+        phrases=phrases,
+        store=store,
     )
     write_csv(result, output_path, mode="overwrite")
     return read_csv(spark, output_path, result.schema)
