@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import random
 import zlib
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -227,6 +228,74 @@ def test_bin_completion_beats_best_fit():
     assert len(packing.search(counts)) == 2 == packing.lower_bound(counts)
 
 
+def fewest(lengths, room=packing.CAPACITY):
+    """The least number of sequences, by trying every place for every piece."""
+    best = len(lengths)
+
+    def put(k, spaces):
+        nonlocal best
+        if len(spaces) >= best:
+            return
+        if k == len(lengths):
+            best = len(spaces)
+            return
+        for space in set(spaces):
+            if space >= lengths[k]:
+                rest = list(spaces)
+                rest[rest.index(space)] -= lengths[k]
+                put(k + 1, rest)
+        put(k + 1, [*spaces, room - lengths[k]])
+
+    put(0, [])
+    return best
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.integers(1, 1023), min_size=1, max_size=10), st.integers(1, 200))
+def test_search_finds_the_fewest_sequences(lengths, step):
+    lengths = sorted((max(1, x // step * step) for x in lengths), reverse=True)
+    counts = np.bincount(lengths, minlength=packing.CAPACITY + 1)
+    assert len(packing.search(counts, [10**6])) == fewest(lengths)
+
+
+@given(st.lists(st.integers(1, 20), max_size=8), st.integers(1, 40))
+def test_fillings_are_all_undominated_ones_by_waste(lengths, room):
+    counts = np.bincount(lengths, minlength=packing.CAPACITY + 1)
+    pieces = range(len(lengths))
+    subsets = [[k for k in pieces if bits >> k & 1] for bits in range(1 << len(lengths))]
+
+    def undominated(own):
+        waste = room - sum(lengths[k] for k in own)
+        pairs = [sum(lengths[k] for k in p) for p in combinations(own, 2)]
+        others = [lengths[k] for k in pieces if k not in own]
+        return waste >= 0 and not any(
+            y <= waste
+            or any(lengths[k] < y <= lengths[k] + waste for k in own)
+            or any(pair <= y <= pair + waste for pair in pairs)
+            for y in others
+        )
+
+    expected = {tuple(sorted((lengths[k] for k in own), reverse=True)) for own in subsets if undominated(own)}
+    found = list(packing.fillings(counts, room, [10**6]))
+    assert len(found) == len(set(found)) and set(found) == expected
+    assert [sum(f) for f in found] == sorted(map(sum, found), reverse=True)
+
+
+def test_search_runs_where_best_fit_is_not_at_the_bound(monkeypatch):
+    """Long pieces that fill their sequences do not keep the search from the short ones."""
+    rng = np.random.default_rng(4)
+    lengths = np.concatenate([np.full(60, 1000), rng.integers(200, 600, 700)])
+    counts = np.bincount(lengths, minlength=packing.CAPACITY + 1)
+    seen = []
+    monkeypatch.setattr(packing, "fillings", lambda *a, f=packing.fillings: seen.append(1) or f(*a))
+    packed = packing.complete_bins(counts)
+    assert sorted(x for b in packed for x in b) == sorted(lengths.tolist())
+    assert len(seen) > 0
+    assert len(packed) < len(packing.best_fit(counts))
+    few = packing.complete_bins(counts, 1)
+    assert len(packed) <= len(few) <= len(packing.best_fit(counts))
+
+
 URLS = [
     "http://example.com/en/x?a", "https://www.Example.COM/en/", "x://a.www.example.com/en/1", "http://example.com",
     "http://notexample.com/en/", "http://com/", "http://a.net/es/#f", "http://net/fr", "//example.com/en/", None, "",

@@ -2,8 +2,8 @@
 
 Lengths are packed as a multiset: the largest piece left is put in a new sequence and
 the fillings around it are tried in order of the tokens they waste. A filling is
-skipped if another one dominates it (one of its pieces, or two of them together,
-could be exchanged for a longer piece that still fits). The best-fit-decreasing
+skipped if another one dominates it (a piece could be added, or one of its pieces
+exchanged for a longer one, or two of them for one as long, and it still fits). The best-fit-decreasing
 solution is the incumbent; a branch ends once its waste leaves no room for a better
 one, and the search ends at the lower bound.
 """
@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import base64
 import zlib
+from bisect import bisect_right
 from collections.abc import Iterator
 from functools import cache
 
@@ -27,8 +28,7 @@ from ticketloom.llm.shared import saved
 CAPACITY = 1024
 END_ID = 2
 GROUP = 1 << 15  # pieces packed together; each group may cost a part of one sequence
-WORST = 48  # sequences that are packed anew at a time, those that waste most
-NODES = 4000  # fillings tried in one search before the incumbent is taken
+NODES = 10_000  # fillings looked at for one group before its incumbent is taken
 
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
 
@@ -137,84 +137,101 @@ def best_fit(counts: np.ndarray) -> list[list[int]]:
     return bins
 
 
-def fillings(counts: np.ndarray, room: int, width: int = 8) -> list[tuple[int, ...]]:
-    """Undominated fillings of ``room``, least waste first: ``width`` at most, as the search looks no further."""
-    left = counts[: room + 1].copy()
-    lengths = np.flatnonzero(left)
-    if not len(lengths):
-        return [()]
-    smallest = int(lengths[0])
-    found: list[tuple[int, tuple[int, ...]]] = []
-    stop = [16 * width]
-
-    def largest_up_to(most: int) -> int:
-        at = int(np.searchsorted(lengths, most, side="right")) - 1
-        while at >= 0 and left[lengths[at]] == 0:
-            at -= 1
-        return int(lengths[at]) if at >= 0 else 0
-
-    def extend(chosen: tuple[int, ...], space: int, most: int) -> None:
-        stop[0] -= 1
-        nxt = largest_up_to(min(space, most))
-        if not nxt:
-            if space < smallest or not largest_up_to(space):
-                found.append((space, chosen))
+def fillings(left: np.ndarray, room: int, nodes: list[int]) -> Iterator[tuple[int, ...]]:
+    """All undominated fillings of ``room`` from ``left[length]`` pieces, least waste first.
+
+    They are formed one by one as the search asks for them: which sums the pieces up to
+    each length can reach is kept as bits, so every step leads to a filling. Each one
+    that is looked at takes a node, and the last node ends it.
+    """
+    lengths = np.flatnonzero(left[: room + 1]).tolist()
+    times = [int(left[x]) for x in lengths]
+    inside = (1 << room + 1) - 1
+    reach = [1]
+    for length, n in zip(lengths, times, strict=True):
+        sums = reach[-1]
+        for _ in range(min(n, room // length)):
+            sums |= sums << length & inside
+        reach.append(sums)
+
+    def exactly(total: int, kinds: int) -> Iterator[tuple[int, ...]]:
+        if not total:
+            yield ()
             return
-        tried = 0
-        while nxt and stop[0] > 0 and tried < width:
-            left[nxt] -= 1
-            extend((*chosen, nxt), space - nxt, nxt)
-            left[nxt] += 1
-            if sum(waste == 0 for waste, _ in found) >= width:
+        while kinds and not reach[kinds] >> total & 1:
+            kinds -= 1
+        for kind in range(min(kinds, bisect_right(lengths, total)), 0, -1):
+            if not reach[kind] >> total & 1:
                 return
-            nxt = largest_up_to(nxt - 1)
-            tried += 1
-
-    extend((), room, room)
-
-    present = np.concatenate([[0], np.cumsum(counts[: room + 1] > 0)])
-
-    def dominated(waste: int, chosen: tuple[int, ...]) -> bool:
-        used_up = {x for x in chosen if counts[x] <= chosen.count(x)}
-        sums = {(x, x + 1) for x in chosen}
-        sums |= {(a + b, a + b) for i, a in enumerate(chosen) for b in chosen[i + 1 :]}
-        for total, low in sums:
-            high = min(room, total + waste)
-            if low <= high:
-                own = sum(low <= x <= high for x in used_up)
-                if present[high + 1] - present[low] > own:
-                    return True
-        return False
-
-    unique = sorted(set(found), key=lambda x: (x[0], [-c for c in x[1]]))
-    kept = [chosen for waste, chosen in unique if not dominated(waste, chosen)]
-    return (kept or [chosen for _, chosen in unique] or [()])[:width]
-
-
-def complete_bins(counts: np.ndarray) -> list[list[int]]:
-    """The lengths of each sequence.
-
-    Best fit fills most sequences without waste. Those that waste most are packed anew
-    by bin completion, at least ``WORST`` and as many as waste a whole sequence
-    together, until the lower bound is met or that saves none.
+            length = lengths[kind - 1]
+            for n in range(min(times[kind - 1], total // length), 0, -1):
+                if reach[kind - 1] >> total - n * length & 1:
+                    for rest in exactly(total - n * length, kind - 1):
+                        yield (length,) * n + rest
+
+    def dominated(chosen: tuple[int, ...], waste: int) -> bool:
+        free = present
+        for x in set(chosen):
+            if left[x] <= chosen.count(x):
+                free &= ~(1 << x)
+        if free & (2 << waste) - 1:
+            return True
+        one = any(free >> x + 1 & (1 << waste) - 1 for x in set(chosen))
+        two = {a + b for i, a in enumerate(chosen) for b in chosen[i + 1 :]}
+        return one or any(free >> x & (2 << waste) - 1 for x in two)
+
+    present = sum(1 << x for x in lengths)
+    for waste in range(room + 1):
+        if reach[-1] >> room - waste & 1:
+            for chosen in exactly(room - waste, len(lengths)):
+                nodes[0] -= 1
+                if nodes[0] < 0:
+                    return
+                if not dominated(chosen, waste):
+                    yield chosen
+
+
+def complete_bins(counts: np.ndarray, nodes: int = NODES) -> list[list[int]]:
+    """The lengths of each sequence, from ``nodes`` fillings looked at.
+
+    Best fit fills most sequences without waste. The sequences that waste most, together
+    at least a whole one, are packed anew by bin completion, along with as many of those
+    that have the most pieces, whose short ones fill gaps. A set that could lose a
+    sequence and did not is searched again with twice as many of both kinds.
     """
-    best = sorted(best_fit(counts), key=sum)
+    best = best_fit(counts)
     bound = lower_bound(counts)
-    while len(best) > bound:
+    left, more = [nodes], 1
+    while len(best) > bound and left[0] > 0:
+        best.sort(key=sum)
         wasted = np.cumsum([CAPACITY - sum(b) for b in best])
-        n = min(len(best), max(WORST, int(np.searchsorted(wasted, CAPACITY)) + 1))
-        worst = np.bincount([x for b in best[:n] for x in b], minlength=CAPACITY + 1)
-        packed = search(worst)
-        if len(packed) >= n:
+        n = min(len(best), more * (int(np.searchsorted(wasted, CAPACITY)) + 1))
+        best[n:] = sorted(best[n:], key=len, reverse=True)
+        chosen = best[: 2 * n]
+        own = np.bincount([x for b in chosen for x in b], minlength=CAPACITY + 1)
+        packed = search(own, left, chosen) if lower_bound(own) < len(chosen) else chosen
+        if len(packed) < len(chosen):
+            best, more = packed + best[2 * n :], 1
+        elif len(chosen) == len(best):
             break
-        best = sorted(packed + best[n:], key=sum)
+        else:
+            more *= 2
     return best
 
 
-def search(counts: np.ndarray, nodes: int = NODES) -> list[list[int]]:
-    """Branch and bound over the fillings around the largest piece left."""
+def search(
+    counts: np.ndarray, nodes: list[int] | None = None, incumbent: list[list[int]] | None = None
+) -> list[list[int]]:
+    """Branch and bound over the fillings around the largest piece left.
+
+    It ends at the lower bound, when no branch is left, or when ``nodes``, which it
+    counts down, are used up.
+    """
+    nodes = [NODES] if nodes is None else nodes
     counts = counts.astype(np.int64)
     best = best_fit(counts)
+    if incumbent is not None and len(incumbent) <= len(best):
+        best = incumbent
     bound = lower_bound(counts)
     total = int((counts * np.arange(CAPACITY + 1)).sum())
     left = counts.copy()
@@ -227,27 +244,23 @@ def search(counts: np.ndarray, nodes: int = NODES) -> list[list[int]]:
 
     def options() -> tuple[int, Iterator[tuple[int, ...]]]:
         largest = int(np.flatnonzero(left)[-1])
-        left[largest] -= 1
-        found = fillings(left, CAPACITY - largest)
-        left[largest] += 1
-        return largest, iter(found)
+        rest = left.copy()
+        rest[largest] -= 1
+        return largest, fillings(rest, CAPACITY - largest, nodes)
 
     if len(best) <= bound:
         return best
     largest, ways = options()
-    while nodes > 0 and len(best) > bound:
+    while len(best) > bound:
         chosen = next(ways, None)
-        if chosen is None:
-            if not path:
+        waste = 0 if chosen is None else wasted[-1] + CAPACITY - largest - sum(chosen)
+        if chosen is None or waste > (len(best) - 1) * CAPACITY - total:
+            if not path or nodes[0] <= 0:  # what follows wastes at least as much
                 break
             largest, undone, ways = path.pop()
             wasted.pop()
             place(largest, undone, -1)
             continue
-        nodes -= 1
-        waste = wasted[-1] + CAPACITY - largest - sum(chosen)
-        if waste > (len(best) - 1) * CAPACITY - total:
-            continue
         place(largest, chosen, 1)
         path.append((largest, chosen, ways))
         wasted.append(waste)
