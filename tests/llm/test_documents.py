@@ -242,6 +242,33 @@ def test_repeated_passages_of_repeated_rows_and_many_shards(spark, monkeypatch):
     ]
 
 
+def test_repeated_passages_of_a_very_long_text(spark, monkeypatch):
+    """A text of several blocks that owns all recurring phrases: they are dealt into many shards."""
+    monkeypatch.setattr(phrases, "SHARD_PHRASES", 40)
+    rng = random.Random(14)
+    long = [fixtures.prose(rng, 400) for _ in range(150)]
+    texts = {
+        1: " ".join(long),
+        2: "new " + " ".join(long[20:40]) + " words",
+        3: long[77] + " and " + fixtures.prose(rng, 40),
+        4: fixtures.prose(rng, 3000),
+    }
+    assert len(texts[1]) > 262_144
+    found = phrases.without_repeats(spark.createDataFrame(list(texts.items()), "doc_id bigint, text string"))
+    found = {r["doc_id"]: r for r in found.collect()}
+    for i, (n, kept) in zip(texts, brute.repeats_removed(list(texts.values())), strict=True):
+        digest = hashlib.sha256(" ".join(kept).encode()).hexdigest()
+        assert (found[i]["n_words"], found[i]["n_removed"], found[i]["kept_sha256"]) == (n, n - len(kept), digest)
+    assert found[2]["n_removed"] == 8000 and found[3]["n_removed"] == 400
+
+
+def test_recurring_phrases_in_parts(spark):
+    rows = [(k, 7) for k in range(25_000)] + [(100_000 + k, k) for k in range(500)]
+    dealt = phrases._sharded(spark.createDataFrame(rows, "phrase bigint, owner bigint"), 4)
+    sizes = [r["count"] for r in dealt.groupBy("shard").count().collect()]
+    assert sum(sizes) == len(rows) and len(sizes) > 1
+
+
 def test_empty_tables(spark, empty):
     items = spark.createDataFrame([], "item_id bigint, text string")
     for found in (

@@ -3,8 +3,8 @@
 The least 8-word phrase of a 35-word window is its anchor, so equal windows have equal
 anchors. Phrases that are anchors twice or more name the candidate windows, whose
 prints are counted to confirm those that recur. The anchors are dealt into shards by
-the smallest document that has them, which keeps a passage together; each shard's
-phrases become one Aho-Corasick automaton, and the documents that have any of them are
+the smallest document that has them, which keeps a passage together (the many of a long
+document are dealt in parts); each shard's phrases become one Aho-Corasick automaton, and the documents that have any of them are
 streamed through it to find every occurrence.
 """
 
@@ -119,35 +119,41 @@ def _counted(rows: DataFrame) -> DataFrame:
     )
 
 
-def _shard_of(anchors: pa.ListArray) -> list[dict[int, int]]:
-    return [{a["phrase"]: a["shard"] for a in own} for own in anchors.to_pylist()]
+class Recurring:
+    """The recurring phrases of a batch's texts, sorted, with their shards."""
+
+    def __init__(self, anchors: pa.ListArray) -> None:
+        each = anchors.flatten()
+        phrases = each.field("phrase").to_numpy()
+        self.phrases, first = np.unique(phrases, return_index=True)
+        self.shards = each.field("shard").to_numpy()[first]
+
+    def places(self, phrases: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which of ``phrases`` recur, and the place of each of those here."""
+        at = np.searchsorted(self.phrases, phrases)
+        inside = at < len(self.phrases)
+        inside[inside] = self.phrases[at[inside]] == phrases[inside]
+        return inside, at[inside]
 
 
 def _candidate_windows(candidates: DataFrame) -> DataFrame:
-    """``(shard, window, check)`` for every window whose anchor recurs."""
+    """``(window, check)`` for every window whose anchor recurs; the low half of ``check`` is the shard."""
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            shards = _shard_of(batch.column(1))
-            known = np.unique(np.asarray([p for own in shards for p in own], np.int64))
-            shard_by = {p: s for own in shards for p, s in own.items()}
-            value = np.asarray([shard_by[p] for p in known.tolist()], np.int32)
+            recurring = Recurring(batch.column(1))
             for _, _, words in chunks(batch.column(0)):
                 found = Anchored(words)
                 phrase = found.phrases[found.anchors].view(np.int64)
-                at = np.minimum(np.searchsorted(known, phrase), len(known) - 1)
-                recurs = known[at] == phrase
+                recurs, at = recurring.places(phrase)
                 prints = found.window_prints(found.windows[recurs])
+                check = (mixed(prints ^ phrase[recurs].view(np.uint64)) >> np.uint64(33)).astype(np.int64)
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(value[at[recurs]]),
-                        pa.array(prints.view(np.int64)),
-                        pa.array((mixed(prints ^ phrase[recurs].view(np.uint64)) >> np.uint64(33)).astype(np.int32)),
-                    ],
-                    ["shard", "window", "check"],
+                    [pa.array(prints.view(np.int64)), pa.array(check << 32 | recurring.shards[at])],
+                    ["window", "check"],
                 )
 
-    return candidates.select("text", "anchors").mapInArrow(emit, "shard int, window bigint, check int")
+    return candidates.select("text", "anchors").mapInArrow(emit, "window bigint, check bigint")
 
 
 def _phrase_texts(candidates: DataFrame) -> DataFrame:
@@ -155,24 +161,21 @@ def _phrase_texts(candidates: DataFrame) -> DataFrame:
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            shards = _shard_of(batch.column(1))
-            seen: set[int] = set()
-            rows = []
-            for low, _, words in chunks(batch.column(0)):
+            recurring = Recurring(batch.column(1))
+            seen = np.zeros(len(recurring.phrases), bool)
+            for _, _, words in chunks(batch.column(0)):
                 found = Anchored(words)
                 places = np.unique(found.anchors)
-                for place, row in zip(places.tolist(), found.row_of(places).tolist(), strict=True):
-                    phrase = int(found.phrases[place].view(np.int64))
-                    if phrase not in seen and phrase in shards[low + row]:
-                        seen.add(phrase)
-                        begin, end = words.starts[place], words.ends[place + PHRASE - 1]
-                        text = b" ".join(words.data[begin:end].tobytes().split()).decode()
-                        rows.append((shards[low + row][phrase], phrase, text))
-            columns = zip(*rows, strict=True) if rows else [[], [], []]
-            types = [pa.int32(), pa.int64(), pa.string()]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(columns, types, strict=True)], ["shard", "phrase", "words"]
-            )
+                recurs, at = recurring.places(found.phrases[places].view(np.int64))
+                at, first = np.unique(at, return_index=True)
+                places, at = places[recurs][first][~seen[at]], at[~seen[at]]
+                seen[at] = True
+                spans = zip(words.starts[places], words.ends[places + PHRASE - 1], strict=True)
+                texts = [b" ".join(words.data[x:y].tobytes().split()).decode() for x, y in spans]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(recurring.shards[at]), pa.array(recurring.phrases[at]), pa.array(texts, pa.string())],
+                    ["shard", "phrase", "words"],
+                )
 
     return (
         candidates.select("text", "anchors")
@@ -247,6 +250,20 @@ def _applied(rows: DataFrame) -> DataFrame:
     return rows.mapInArrow(apply, "doc_id bigint, n_words bigint, n_removed bigint, kept_sha256 string")
 
 
+def _sharded(recurring: DataFrame, n_shards: int) -> DataFrame:
+    """``(phrase, shard)``: the phrases of an owner in one shard, or, if they are more than a
+    quarter of what one holds, in parts of so many."""
+    part = max(1, SHARD_PHRASES // 4)
+    many = (
+        recurring.groupBy("owner")
+        .agg(F.ceil(F.count(F.lit(1)) / part).cast("int").alias("parts"))
+        .where("parts > 1")
+    )
+    share = F.when(F.col("parts").isNotNull(), F.pmod(F.xxhash64("phrase"), "parts")).otherwise(0)
+    shard = F.pmod(F.xxhash64("owner", share), F.lit(n_shards)).cast("int")
+    return recurring.join(many, "owner", "left").select("phrase", shard.alias("shard"))
+
+
 def without_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """``(doc_id, n_words, n_removed, kept_sha256)`` for every row of ``docs``.
 
@@ -267,9 +284,8 @@ def without_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str
         .select("phrase", "owner")
     )
     n_shards = max(1, -(-recurring.count() // SHARD_PHRASES))
-    shard = F.pmod("owner", F.lit(n_shards)).cast("int").alias("shard")
     of_text = (
-        anchors.join(recurring.select("phrase", shard), "phrase")
+        anchors.join(_sharded(recurring, n_shards), "phrase")
         .groupBy(F.col("doc_id").alias("of_id"), F.col("text_print").alias("of_print"))
         .agg(F.collect_set(F.struct("phrase", "shard")).alias("anchors"))
     )
@@ -279,10 +295,10 @@ def without_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str
 
     confirmed = (
         _candidate_windows(candidates)
-        .groupBy("shard", "window", "check")
+        .groupBy("window", "check")
         .agg(F.count(F.lit(1)).alias("n"))
         .where("n > 1")
-        .select("shard", "window", F.lit(None).cast("string").alias("words"))
+        .select(F.col("check").bitwiseAND(0x7FFFFFFF).cast("int").alias("shard"), "window", F.lit(None).cast("string").alias("words"))
     )
     phrases = _phrase_texts(candidates).select("shard", F.lit(None).cast("bigint").alias("window"), "words")
     patterns = saved(confirmed.unionAll(phrases), "phrase-patterns")
