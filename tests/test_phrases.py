@@ -5,12 +5,15 @@ from __future__ import annotations
 import random
 import re
 
+import numpy as np
 import pytest
 from conftest import values
 from pyspark.sql import functions as F
 
 from ticketloom.operators.language import translate_content
-from ticketloom.operators.phrases import phrase_trie, substitute_phrases, substituted
+from ticketloom import session
+from ticketloom.operators import phrases as ops
+from ticketloom.operators.phrases import phrase_matches, phrase_trie, substitute_phrases, substituted
 
 PHRASES = [
     ("goede morgen", "good morning"), ("goede", "good"), ("Morgen", "tomorrow"), ("de hele dag", "all day"),
@@ -89,6 +92,25 @@ def test_a_large_table_is_not_in_the_plan(spark):
     assert found.first()["said"] == f"{0x29}, {0x29} y {0xFF}"
 
 
+def test_places_are_neither_written_nor_shuffled_one_by_one(spark, phrases, monkeypatch, tmp_path):
+    texts = spark.createDataFrame([(0, "dag anders " * 20_000), (1, "goede anders " * 20_000), (2, None)], "id int, body string")
+    monkeypatch.setattr(session, "shared_path", lambda _, name: f"{tmp_path}/{name}")
+    found = phrase_matches(texts, phrase_trie(phrases), "id", "body", 4)
+    assert values(found.groupBy("id", "n_words", "answer").count()) == [(0, 1, "afternoon", 20_000), (1, 1, "good", 20_000)]
+    assert not list(tmp_path.rglob("*.parquet"))
+
+
+def test_blocks_and_a_full_filter_change_nothing(spark, phrases, monkeypatch):
+    texts = ["goede morgen de dag", "", "de hele dag goede morgen", None, "?", "hele, goede", "niet één"] * 3
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, body string").coalesce(1)
+    expected = values(phrase_matches(df, phrase_trie(phrases), "id", "body", 4))
+    assert (0, 0, 4, "never mind") in expected and len(expected) == 42
+    # All bits set: every place is a candidate, and the join alone decides. The blocks hold a text each.
+    monkeypatch.setattr(ops, "_prefix_filter", lambda trie: np.full(16, -1, np.int64).view(np.uint64))
+    monkeypatch.setattr(ops, "_BLOCK_WORDS", 1)
+    assert values(phrase_matches(df, phrase_trie(phrases), "id", "body", 4)) == expected
+
+
 def test_translation_by_a_phrase_table(spark, phrases):
     df = spark.createDataFrame([(1, "het is niet de hele dag"), (2, "it is the whole day"), (3, " ")], "id int, content string")
     found = translate_content(df, source="Dutch", phrases=phrases).orderBy("id").collect()

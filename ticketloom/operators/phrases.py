@@ -1,26 +1,31 @@
 """Substitution by a phrase table of any size: the longest phrase at the leftmost place, then the next.
 
-The table is a token trie in rows, one per prefix of a phrase. A text's words meet it
-depth by depth: a place stays in the search only as long as what begins there is the
-prefix of a longer phrase. Nothing of the table is in the plan or sent to all tasks,
-unless Spark finds it small enough.
+The table is a token trie in rows, one per prefix of a phrase. A Bloom filter of its
+prefixes, of bounded size, lets a text's places go that begin no phrase; what is left is
+joined with the trie's rows, once per text and phrase. The table itself is not in the plan
+or sent to all tasks, unless Spark finds it small enough.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ticketloom.operators.joins import join_many_to_one
 from ticketloom.session import staged
 
 # A word is a run of letters; the words of a phrase have white space between them.
 WORD = r"\p{L}+"
 SPACE = r"^\s+$"
+# Bits a prefix, bits at most (32 MB) and bits set for each. A full filter lets more places
+# through; what they are is settled by the join.
+BITS_PER_PREFIX, MOST_BITS, PROBES = 16, 1 << 28, 3
+_BLOCK_WORDS = 1 << 19
 
 
 def words_of(text: Column) -> Column:
@@ -52,42 +57,129 @@ def phrase_trie(phrases: DataFrame, phrase: str = "phrase", answer: str = "answe
     )
 
 
-def phrase_matches(texts: DataFrame, trie: DataFrame, key: str, text: str, depth: int) -> DataFrame:
-    """``(key, pos, n_words, answer)``: every phrase at every word of every text.
-
-    ``depth`` is the number of words of the longest phrase. A word that half of all texts
-    have is a hot key of the first join and is dealt with as one.
+def _longer(hashes: np.ndarray, words: np.ndarray) -> np.ndarray:
+    """The hashes of prefixes that are one word longer."""
+    mixed = hashes * np.uint64(0x9E3779B97F4A7C15) + words
+    mixed ^= mixed >> np.uint64(29)
+    mixed *= np.uint64(0xBF58476D1CE4E5B9)
+    return mixed ^ (mixed >> np.uint64(32))
+
+
+def _probe(hashes: np.ndarray, k: int, bits: int) -> np.ndarray:
+    return (hashes + np.uint64(k) * ((hashes >> np.uint64(31)) | np.uint64(1))) & np.uint64(bits - 1)
+
+
+def _uint64(values: pa.Array) -> np.ndarray:
+    return values.to_numpy(zero_copy_only=False).astype(np.int64, copy=False).view(np.uint64)
+
+
+def _prefix_filter(trie: DataFrame) -> np.ndarray:
+    """A Bloom filter of the trie's prefixes as 64-bit words."""
+    bits = 1 << 10
+    wanted = trie.count() * BITS_PER_PREFIX
+    while bits < min(wanted, MOST_BITS):
+        bits *= 2
+
+    def set_bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column(0)
+            first = lists.offsets.to_numpy().astype(np.int64)
+            words, sizes = _uint64(lists.values), np.diff(first)
+            hashes, alive, level = np.zeros(len(sizes), np.uint64), np.arange(len(sizes)), 0
+            while len(alive := alive[sizes[alive] > level]):
+                hashes[alive] = _longer(hashes[alive], words[first[alive] + level])
+                level += 1
+            at = np.concatenate([_probe(hashes, k, bits) for k in range(PROBES)])
+            slots, inverse = np.unique(at >> np.uint64(6), return_inverse=True)
+            masks = np.zeros(len(slots), np.uint64)
+            np.bitwise_or.at(masks, inverse, np.uint64(1) << (at & np.uint64(63)))
+            yield pa.RecordBatch.from_arrays([pa.array(slots.astype(np.int32)), pa.array(masks.view(np.int64))], ["slot", "mask"])
+
+    hashed = trie.select(F.transform(F.split("prefix", " "), lambda w: F.xxhash64(w)).alias("words"))
+    found = hashed.mapInArrow(set_bits, "slot int, mask bigint").groupBy("slot").agg(F.bit_or("mask").alias("mask")).toArrow()
+    out = np.zeros(bits >> 6, np.uint64)
+    out[found["slot"].to_numpy()] = found["mask"].to_numpy().view(np.uint64)
+    return out
+
+
+def _maybe(filled: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Which hashes the filter may hold, as indices."""
+    left = np.arange(len(hashes))
+    for k in range(PROBES):
+        at = _probe(hashes[left], k, len(filled) << 6)
+        left = left[(filled[at >> np.uint64(6)] >> (at & np.uint64(63))) & np.uint64(1) == 1]
+    return left
+
+
+def _candidates(block: pa.RecordBatch, filled: np.ndarray, depth: int) -> Iterator[pa.RecordBatch]:
+    """The places of a few texts where a phrase may begin, depth by depth, those of a text and phrase together."""
+    keys, texts = block.column(0), block.column(1)
+    first = texts.offsets.to_numpy().astype(np.int64)
+    base, first = first[0], first - first[0]
+    values = texts.values.slice(base, first[-1])
+    words, hashes = values.field("w"), _uint64(values.field("h"))
+    # A word that white space does not join to the one before it ends every phrase there.
+    joined = values.field("joined").to_numpy(zero_copy_only=False).astype(bool)
+    joined[first[:-1][first[:-1] < len(joined)]] = False
+    at, prefix = np.arange(len(words)), _longer(np.zeros(len(words), np.uint64), hashes)
+    for level in range(1, depth + 1):
+        kept = _maybe(filled, prefix)
+        at, prefix = at[kept], prefix[kept]
+        if not len(at):
+            return
+        phrase = words.take(pa.array(at))
+        for k in range(1, level):
+            phrase = pc.binary_join_element_wise(phrase, words.take(pa.array(at + k)), " ")
+        row = np.searchsorted(first, at, side="right") - 1
+        code = phrase.dictionary_encode().indices.to_numpy()
+        order = np.lexsort((code, row))
+        starts = np.flatnonzero(np.append(True, (np.diff(row[order]) != 0) | (np.diff(code[order]) != 0)))
+        head = order[starts]
+        ends = pa.array(np.append(starts, len(order)).astype(np.int32))
+        places = pa.ListArray.from_arrays(ends, pa.array((at - first[row])[order].astype(np.int32)))
+        columns = [keys.take(pa.array(row[head])), places, pa.array(np.full(len(head), level, np.int32)), phrase.take(pa.array(head))]
+        yield pa.RecordBatch.from_arrays(columns, ["key", "places", "n_words", "phrase"])
+        following = at + level
+        goes_on = following < len(words)
+        goes_on[goes_on] = joined[following[goes_on]]
+        at, prefix = at[goes_on], _longer(prefix[goes_on], hashes[following[goes_on]])
+
+
+def phrase_places(texts: DataFrame, trie: DataFrame, key: str, text: str, depth: int) -> DataFrame:
+    """``(key, places, n_words, answer)``: every phrase of every text, and the words it begins at.
+
+    ``depth`` is the number of words of the longest phrase; the trie is read more than once.
+    A phrase that most texts have is a hot key of the join, whose two sides come straight
+    from shuffles: adaptive execution may split it.
     """
+    filled = _prefix_filter(trie)
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ends, low = batch.column(1).offsets.to_numpy(), 0
+            while low < batch.num_rows:  # some texts at a time, or one
+                high = max(low + 1, int(np.searchsorted(ends, ends[low] + _BLOCK_WORDS, side="right")) - 1)
+                yield from _candidates(batch.slice(low, high - low), filled, depth)
+                low = high
+
     lower = F.lower(text)
     # Arrays are zipped, never indexed within a lambda: that would build them anew for every word.
     zipped = F.arrays_zip(words_of(lower).alias("w"), between_words(lower).alias("gap"))
-    # A word that white space does not join to the one before it ends every phrase there.
-    joined = F.transform("zipped", lambda z: F.when(z["gap"].rlike(SPACE), z["w"]))
-    shifted = [F.slice("joined", k + 1, F.size("joined")).alias(f"w{k}") for k in range(1, depth)]
-    at = (
-        texts.select(F.col(key), zipped.alias("zipped"))
-        .select(key, F.transform("zipped", lambda z: z["w"]).alias("w"), joined.alias("joined"))
-        .select(key, F.posexplode(F.arrays_zip("w", *shifted)).alias("pos", "at"))
-        .where("at.w IS NOT NULL")
+    word = F.transform(
+        F.filter("zipped", lambda z: z["w"].isNotNull()),
+        lambda z: F.struct(z["w"].alias("w"), F.xxhash64(z["w"]).alias("h"), z["gap"].rlike(SPACE).alias("joined")),
     )
-    rest = F.array(*[F.col(f"at.w{k}") for k in range(1, depth)]) if depth > 1 else F.array().cast("array<string>")
-    state = at.select(key, "pos", F.col("at.w").alias("prefix"), rest.alias("rest"))
-    found = []
-    for level in range(1, depth + 1):
-        nodes = trie.where(F.col("depth") == level).select(
-            F.col("prefix").alias("node"), "answer", "longer"
-        )
-        if level == 1:
-            met = join_many_to_one(state, nodes, "prefix", "node")
-        else:  # one row per node meets rows straight from a table: adaptive execution may split it
-            met = state.join(nodes, F.col("prefix") == F.col("node"))
-        state = staged(met.drop("node"), f"phrases-{level}")
-        found.append(state.where("answer IS NOT NULL").select(key, "pos", F.lit(level).alias("n_words"), "answer"))
-        following = F.get("rest", level - 1)
-        state = state.where(F.col("longer") & following.isNotNull()).select(
-            key, "pos", F.concat_ws(" ", "prefix", following).alias("prefix"), "rest"
-        )
-    return reduce(DataFrame.unionAll, found)
+    split = texts.where(F.col(text).isNotNull()).select(F.col(key), zipped.alias("zipped")).select(key, word.alias("words"))
+    of = split.schema[key].dataType.simpleString()
+    found = split.mapInArrow(search, f"`{key}` {of}, places array<int>, n_words int, phrase string")
+    answers = trie.where("answer IS NOT NULL").select("prefix", "answer")
+    return found.join(answers, F.col("phrase") == F.col("prefix")).select(key, "places", "n_words", "answer")
+
+
+def phrase_matches(texts: DataFrame, trie: DataFrame, key: str, text: str, depth: int) -> DataFrame:
+    """``(key, pos, n_words, answer)``: every phrase at every word of every text."""
+    found = phrase_places(texts, trie, key, text, depth)
+    return found.select(key, F.explode("places").alias("pos"), "n_words", "answer")
 
 
 def substituted(words: list[str], gaps: list[str], places: list[tuple[int, int, str]]) -> str:
@@ -108,8 +200,14 @@ def _assembled(parts: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
     for batch in parts:
         yield pd.Series(
             [
-                None if words is None else substituted(list(words), list(gaps), list(zip(pos, n, answers, strict=True)))
-                for words, gaps, pos, n, answers in zip(*batch, strict=True)
+                None
+                if words is None
+                else substituted(
+                    list(words),
+                    list(gaps),
+                    [(at, n, answer) for own, n, answer in zip(places, sizes, answers, strict=True) for at in own],
+                )
+                for words, gaps, places, sizes, answers in zip(*batch, strict=True)
             ],
             dtype=object,
         )
@@ -128,10 +226,10 @@ def substitute_phrases(df: DataFrame, column: str, phrases: DataFrame, output: s
     if depth is None:
         return df.withColumn(output, F.col(column))
     rows = staged(df.withColumn("__row", F.monotonically_increasing_id()), "texts")
-    matches = phrase_matches(rows.where(F.col(column).isNotNull()), trie, "__row", column, depth)
-    lists = matches.groupBy(F.col("__row").alias("__of")).agg(F.collect_list(F.struct("pos", "n_words", "answer")).alias("__places"))
+    matches = phrase_places(rows, trie, "__row", column, depth)
+    lists = matches.groupBy(F.col("__row").alias("__of")).agg(F.collect_list(F.struct("places", "n_words", "answer")).alias("__places"))
     text = F.when(F.col("__places").isNotNull(), F.col(column))
-    fields = [F.col(f"__places.{name}") for name in ("pos", "n_words", "answer")]
+    fields = [F.col(f"__places.{name}") for name in ("places", "n_words", "answer")]
     joined = rows.join(lists, F.col("__row") == F.col("__of"), "left")
     replaced = F.pandas_udf(_assembled, "string")(words_of(text), between_words(text), *fields)
     return joined.withColumn(output, F.coalesce(replaced, F.col(column))).drop("__row", "__of", "__places")

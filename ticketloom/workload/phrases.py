@@ -6,15 +6,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ticketloom.operators.phrases import phrase_matches, phrase_trie, substitute_phrases, words_of
+from ticketloom.session import staged
 from ticketloom.workload.tables import bodies, table
 
 LENGTHS = (1, 2, 3, 5)
+# What a text has up to the end of its fifth word.
+_START = rf"^(?:\P{{L}}*\p{{L}}+){{0,{max(LENGTHS)}}}"
 
 
 def _phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first words of every document, one, two, three and five of them; common ones have several answers."""
     docs = table(spark, sf_dir, "documents")
-    words = words_of(F.col("text"))
+    words = words_of(F.regexp_extract("text", _START, 0))
     starts = F.array(*[F.slice(words, 1, n) for n in LENGTHS])
     answer = F.concat(F.lit("<"), F.col("lang"), F.lit("-"), F.col("doc_id").cast("string"), F.lit(">"))
     found = docs.select(answer.alias("answer"), F.explode(starts).alias("start"))
@@ -27,7 +30,7 @@ def phrase_substitution(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def phrase_occurrences(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How often each phrase of several words occurs anywhere, also within longer ones."""
-    trie = phrase_trie(_phrases(spark, sf_dir))
+    trie = staged(phrase_trie(_phrases(spark, sf_dir)), "phrase-trie")
     texts = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = phrase_matches(texts, trie, "doc_id", "text", max(LENGTHS))
     return found.where("n_words > 1").groupBy("answer", "n_words").agg(F.count("*").alias("n_places"))
