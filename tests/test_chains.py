@@ -10,6 +10,8 @@ from conftest import values
 from pyspark.sql import functions as F
 
 from ticketloom.operators.chains import ordered_tickets, page_order
+from ticketloom import session
+from ticketloom.operators import chains
 from ticketloom.plans.associations import BrokenChains, load_ordered_tickets
 
 PAGES = "run string, after string, following string"
@@ -120,3 +122,20 @@ def test_the_job_reads_pages_in_order_or_fails(spark, tmp_path):
     partial = load_ordered_tickets(spark, str(tmp_path / "broken.json"), allow_partial=True)
     assert values(partial.tickets, "id", "piece", "page") == [("1", None, 0), ("2", None, 0), ("3", None, 1), ("9", "lost", 0)]
     assert values(partial.faults, "kind", "cursor", "following") == [("detached", "lost", None), ("gap", "b", "a")]
+
+
+def test_rounds_pass_nothing_through_the_driver(spark, monkeypatch):
+    plans = []
+
+    def staged(df, name):
+        if name == "page-ranks":
+            plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return session.staged(df, name)
+
+    monkeypatch.setattr(chains, "staged", staged)
+    pages = spark.range(40).select(
+        F.when(F.col("id") > 0, F.col("id").cast("string")).alias("after"), (F.col("id") + 1).cast("string").alias("following")
+    )
+    places = chains.page_order(pages, cursor=F.col("after"), following=F.col("following")).places
+    assert [r["place"] for r in places.orderBy("place").collect()] == list(range(40))
+    assert len(plans) > 5 and not any("Broadcast" in plan for plan in plans[1:])

@@ -110,35 +110,39 @@ def page_order(
 def _ranked(state: DataFrame) -> DataFrame:
     """``(id, best)``: the smallest place that a piece's beginning gives each page, NULL on closed rings.
 
-    Ends when a round improves nothing: then no longer jump would either.
+    Ends when a round improves nothing: then no longer jump would either. The joins are
+    never broadcast: a table just below the threshold would pass the driver in every round.
     """
     state = staged(state, "page-ranks")
-    step = 1
+    step, before = 1, _progress(state)
     while not state.where("jump IS NOT NULL").isEmpty():
-        ahead = state.select(F.col("id").alias("ahead"), F.col("jump").alias("further"))
+        ahead = state.select(F.col("id").alias("ahead"), F.col("jump").alias("further")).hint("merge")
         moved = state.where("jump IS NOT NULL").join(ahead, F.col("jump") == F.col("ahead"))
-        none = F.lit(None)
-        own = F.struct("id", F.col("further").alias("jump"), "best", F.col("best").alias("before"))
+        own = F.struct("id", F.col("further").alias("jump"), "best")
         handed = F.struct(
             F.col("ahead").alias("id"),
-            none.cast("bigint").alias("jump"),
+            F.lit(None).cast("bigint").alias("jump"),
             (F.col("best") + F.lit(step)).cast(_NUMBER).alias("best"),
-            none.cast(_NUMBER).alias("before"),
-        )
-        rows = moved.select(F.inline(F.array(own, handed))).unionByName(
-            state.where("jump IS NULL").select("id", "jump", "best", F.col("best").alias("before"))
-        )
-        merged = rows.groupBy("id").agg(
-            F.max("jump").alias("jump"), F.min("best").alias("best"), F.min("before").alias("before")
         )
+        # Most pages have no place yet in most rounds: only those that have one hand it on.
+        sent = F.when(F.col("best").isNull(), F.array(own)).otherwise(F.array(own, handed))
+        rows = moved.select(F.inline(sent)).unionByName(state.where("jump IS NULL"))
+        merged = rows.groupBy("id").agg(F.max("jump").alias("jump"), F.min("best").alias("best"))
         state = staged(merged, "page-ranks")
-        if state.where(~F.col("best").eqNullSafe(F.col("before"))).isEmpty():
+        after = _progress(state)
+        if after == before:
             break
-        state = state.drop("before")
-        step *= 2
+        step, before = step * 2, after
     return state.select("id", "best")
 
 
+def _progress(state: DataFrame) -> tuple:
+    """Changes with every improvement: more pages have a place, or, among as many, the pages places
+    are counted from get smaller, or, from the same ones, the places do."""
+    parts = [F.sum(F.expr(f"cast(best {part} {_PLACES} AS decimal(20,0))")) for part in ("div", "%")]
+    return tuple(state.agg(F.count("best"), *parts).first())
+
+
 def _named(chain: Sequence[str], keys: Sequence[str]) -> list[Column]:
     return [F.col(k).alias(c) for k, c in zip(keys, chain, strict=True)]
 
