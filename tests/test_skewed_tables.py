@@ -7,6 +7,7 @@ import pytest
 
 from conftest import TESTDATA
 from oracle import TABLES, duck, duck_rows, spark_rows
+from ticketloom.operators import joins
 from ticketloom.workload import registry
 
 SOURCE = TESTDATA / "sf0.001"
@@ -58,3 +59,15 @@ def test_matches_sql_on_skewed_tables(name, spark, skewed, con):
     expected_columns, expected_rows = duck_rows(con, SQL[name])
     assert columns == expected_columns
     assert rows == expected_rows
+
+
+@pytest.mark.parametrize("name", ["paged_association_edges", "known_null_share", "landed_batch_edges"])
+def test_large_tables_in_more_partitions(name, spark, monkeypatch):
+    small = str(TESTDATA / "sf0.001")
+    monkeypatch.setattr(joins, "ROWS_PER_TASK", 300)
+    with_parts = []
+    frame = type(spark.range(0))
+    monkeypatch.setattr(frame, "repartition", lambda df, n, *keys, of=frame.repartition: with_parts.append(n) or of(df, n, *keys))
+    query, sql = registry()[name]
+    assert spark_rows(query(spark, small)) == duck_rows(duck(small), sql)
+    assert with_parts and min(with_parts) >= 20
