@@ -262,6 +262,18 @@ def test_repeated_passages_of_a_very_long_text(spark, monkeypatch):
     assert found[2]["n_removed"] == 8000 and found[3]["n_removed"] == 400
 
 
+def test_texts_are_shuffled_once_on_their_way_to_the_automata(spark, conf, tmp_path):
+    conf(spark__sql__autoBroadcastJoinThreshold="-1")
+    anchor = [(7, 0)]
+    candidates = spark.createDataFrame(
+        [(k, "a b c d e f g h", anchor) for k in range(4)], f"row_id bigint, text string, anchors {phrases.ANCHORS}"
+    )
+    patterns = spark.createDataFrame([(0, 1, None), (0, None, "a b c d e f g h")], "shard int, window bigint, words string")
+    runs = phrases._runs(candidates, patterns)
+    assert runs._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 2
+    assert sorted(r["row_id"] for r in runs.collect()) == [0, 1, 2, 3]
+
+
 def test_recurring_phrases_in_parts(spark):
     rows = [(k, 7) for k in range(25_000)] + [(100_000 + k, k) for k in range(500)]
     dealt = phrases._sharded(spark.createDataFrame(rows, "phrase bigint, owner bigint"), 4)

@@ -264,6 +264,32 @@ def _sharded(recurring: DataFrame, n_shards: int) -> DataFrame:
     return recurring.join(many, "owner", "left").select("phrase", shard.alias("shard"))
 
 
+def _runs(candidates: DataFrame, patterns: DataFrame) -> DataFrame:
+    """``(row_id, begins, ends)``: every candidate through the automata of its shards.
+
+    The sizes of the groups, a row per shard, are broadcast: in a shuffled join the texts
+    would be shuffled once for it and once more for their groups.
+    """
+    routed = candidates.select("row_id", "text", F.explode(F.array_distinct("anchors.shard")).alias("shard"))
+    groups = F.broadcast(
+        checkpointed(
+            routed.groupBy("shard")
+            .agg(F.ceil(F.sum(F.octet_length("text")) / GROUP_BYTES).cast("int").alias("n_groups"))
+        )
+    )
+    left = routed.join(groups, "shard").select(
+        "shard", F.pmod(F.xxhash64("row_id"), "n_groups").cast("int").alias("group_"), "row_id", "text"
+    )
+    right = patterns.join(groups, "shard").select(
+        "shard", F.explode(F.sequence(F.lit(0), F.col("n_groups") - 1)).alias("group_"), "window", "words"
+    )
+    return (
+        left.groupBy("shard", "group_")
+        .cogroup(right.groupBy("shard", "group_"))
+        .applyInArrow(_streamed, "row_id bigint, begins array<int>, ends array<int>")
+    )
+
+
 def without_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """``(doc_id, n_words, n_removed, kept_sha256)`` for every row of ``docs``.
 
@@ -303,22 +329,7 @@ def without_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str
     phrases = _phrase_texts(candidates).select("shard", F.lit(None).cast("bigint").alias("window"), "words")
     patterns = saved(confirmed.unionAll(phrases), "phrase-patterns")
 
-    routed = candidates.select("row_id", "text", F.explode(F.array_distinct("anchors.shard")).alias("shard"))
-    groups = checkpointed(
-        routed.groupBy("shard")
-        .agg(F.ceil(F.sum(F.octet_length("text")) / GROUP_BYTES).cast("int").alias("n_groups"))
-    )
-    left = routed.join(groups, "shard").select(
-        "shard", F.pmod(F.xxhash64("row_id"), "n_groups").cast("int").alias("group_"), "row_id", "text"
-    )
-    right = patterns.join(groups, "shard").select(
-        "shard", F.explode(F.sequence(F.lit(0), F.col("n_groups") - 1)).alias("group_"), "window", "words"
-    )
-    runs = (
-        left.groupBy("shard", "group_")
-        .cogroup(right.groupBy("shard", "group_"))
-        .applyInArrow(_streamed, "row_id bigint, begins array<int>, ends array<int>")
-    )
+    runs = _runs(candidates, patterns)
     of_row = saved(
         runs.groupBy("row_id").agg(F.collect_list(F.struct("begins", "ends")).alias("runs")), "covered-runs"
     )
