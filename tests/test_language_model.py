@@ -9,6 +9,7 @@ from collections import Counter
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from ticketloom.functions.grams import BUCKETS, trigram_buckets
 from ticketloom.operators.language import detect_language, translate_content
@@ -87,3 +88,23 @@ def test_models_of_one_language_and_none(spark, labelled):
     assert one.answers(texts).to_pylist() == ["Dutch", "unknown", "unknown"]
     assert none.answers(texts).to_pylist() == ["unknown"] * 3
     assert none.scores(texts)[0].shape == (3, 0) and np.array_equal(one.scores(texts)[1], [7, 0, 0])
+
+
+def test_large_columns_are_taken_a_block_at_a_time(monkeypatch):
+    """No step on the way to the trigrams holds a whole batch of texts."""
+    import pyarrow.compute as pc
+
+    held = []
+    lower = pc.utf8_lower
+    monkeypatch.setattr(pc, "utf8_lower", lambda texts: held.append(len("".join(texts.to_pylist()))) or lower(texts))
+    texts = ["Ein Satz mit Wörtern " * 100, None, ""] * 1000
+    found = [n for _, at in trigram_buckets(pa.array(texts)) for n in np.diff(at)]
+    assert len(found) == len(texts) and found[1::3] == found[2::3] == [0] * 1000 and len(set(found[::3])) == 1
+    assert max(held) <= 1 << 18
+
+
+def test_detector_runs_without_pandas(spark):
+    model = LanguageModel.of(train_language_model(spark.createDataFrame([("ein satz", "de"), ("a phrase", "en")], "text string, lang string")))
+    found = spark.createDataFrame([("ein satz ein satz ein satz",), (None,)], "text string").select(model.detect(F.col("text")).alias("x"))
+    assert [r["x"] for r in found.collect()] == ["de", "unknown"]
+    assert "ArrowEvalPython" in found._jdf.queryExecution().executedPlan().toString()

@@ -11,7 +11,6 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -138,9 +137,10 @@ class LanguageModel:
         return pa.array(names[np.where(sure & (sizes > 0), best, len(self.languages))], pa.string())
 
     def detect(self, text: Column) -> Column:
-        """The language of a text column; runs batch by batch in the tasks."""
+        """The language of a text column; runs on Arrow batches in the tasks, so that a task holds
+        no batch as Python strings."""
 
-        def ask(texts: pd.Series) -> pd.Series:
-            return pd.Series(self.answers(pa.array(texts, pa.string())).to_pandas(), dtype=object)
+        def ask(texts: pa.Array) -> pa.Array:
+            return self.answers(texts)
 
-        return F.pandas_udf(ask, "string")(text)
+        return F.arrow_udf(ask, "string")(text)
