@@ -154,3 +154,17 @@ def test_landed_edges_loses_no_response_of_a_large_order(spark, tmp_path):
     )
     lineitem.write.parquet(f"{tmp_path}/lineitem.parquet")
     assert workload.landed_edges(spark, str(tmp_path)).count() == 5001
+
+
+def test_different_responses_are_shuffled_once_as_short_columns(spark, tmp_path):
+    from ticketloom.workload import pages as workload
+
+    rows = [(1, 7, 3, "N", "O"), (1, 7, 3, "N", "O"), (1, 8, 3, "R", "O"), (1, 9, 3, "R", "F"), (2, 7, 3, None, "O")]
+    names = "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_returnflag string, l_linestatus string"
+    spark.createDataFrame(rows, names).write.parquet(f"{tmp_path}/lineitem.parquet")
+    found = workload._different_responses(spark, str(tmp_path))
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("from_json") == 0
+    assert found._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+    pages = sorted((r["ticket_id"], r["page"], len(r["results"] or [])) for r in found.collect())
+    assert [(t, p) for t, p, _ in pages] == [("1", 0), ("1", 1), ("2", 0)] and sorted(n for *_, n in pages) == [0, 0, 2]
+    assert values(workload.landed_edges(spark, str(tmp_path)), "ticket_id", "association_id") == [("1", "3"), ("1", "7")]
