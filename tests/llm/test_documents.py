@@ -174,6 +174,33 @@ def test_word_perplexity_leaves_the_text_out(spark):
         assert got["word_surprise"] == pytest.approx(expected)
 
 
+@pytest.mark.parametrize("shard", [8, 1 << 19])
+def test_word_perplexity_of_many_blocks_and_shards(spark, monkeypatch, shard):
+    """Frequent words are dealt over several shards; texts of a block are scored in parts."""
+    from ticketloom.llm import wordmodel
+
+    rng = random.Random(9)
+    texts = [" ".join(rng.choices("aaaabcdefgh", k=rng.randint(1, 40))) for _ in range(40)]
+    texts += ["a b a b"] * 2 + ["x y z " * 30]
+    docs = spark.createDataFrame([(t, "en") for t in texts], "text string, lang string").repartition(3)
+    monkeypatch.setattr(wordmodel, "SHARD", shard)
+    monkeypatch.setattr(wordmodel, "BLOCK", 100)
+    monkeypatch.setattr(wordmodel, "SCORED", 50)
+    if shard == 8:
+        blocks = wordmodel.token_blocks(docs, "text", "lang")
+        assert blocks.count() > 2
+        assert len(wordmodel._frequent(blocks, blocks.count())["en"]) > 5
+    found = {(r["h1"], r["h2"]): r for r in wordmodel.word_surprise(docs, "text", "lang").collect()}
+    prints = docs.select("text", *wordmodel.text_prints("text")).distinct().collect()
+    assert len(found) == len(prints)
+    for row in prints:
+        others = list(texts)
+        others.remove(row["text"])
+        got = found[row["h1"], row["h2"]]
+        assert got["word_n"] == len(row["text"].split()) + 1
+        assert got["word_surprise"] == pytest.approx(brute.word_surprise(row["text"], others, texts))
+
+
 def test_language_model_is_a_distribution(spark):
     """After every context the probabilities of all symbols add up to one."""
     import numpy as np

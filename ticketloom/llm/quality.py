@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ticketloom.llm.shared import checkpointed, free_name, saved
-from ticketloom.llm.wordhash import Words, chunks, mixed
+from ticketloom.llm.wordhash import Words, chunks, distinct, mixed
 from ticketloom.llm.wordmodel import text_prints, word_surprise
 
 ORDER = 4
@@ -86,7 +86,7 @@ def packed_ngrams(words: Words, of: np.ndarray) -> tuple[np.ndarray, np.ndarray]
 def _distinct_words(words: Words, language: np.ndarray):
     """First place, inverse and count of the distinct words by language."""
     key = mixed(words.hashes() ^ language[words.rows()].astype(np.uint64), 3)
-    return np.unique(key, return_index=True, return_inverse=True, return_counts=True)[1:]
+    return distinct(key)
 
 
 def _coded(column: pa.Array) -> tuple[np.ndarray, list[str]]:
@@ -114,10 +114,12 @@ def ngram_counts(docs: DataFrame, text_column: str, lang_column: str) -> DataFra
                 key = grams.astype(np.int64) | (
                     np.repeat(language[words.rows()[index]].astype(np.int64), each) << (ORDER * BITS)
                 )
-                found, at = np.unique(key, return_inverse=True)
-                keys.append(found)
-                counts.append(np.bincount(at, np.repeat(times, each), len(found)).astype(np.int64))
-            found, at = np.unique(np.concatenate(keys), return_inverse=True)
+                one, at, _ = distinct(key)
+                keys.append(key[one])
+                counts.append(np.bincount(at, np.repeat(times, each), len(one)).astype(np.int64))
+            found = np.concatenate(keys)
+            one, at, _ = distinct(found)
+            found = found[one]
             total = np.bincount(at, np.concatenate(counts), len(found)).astype(np.int64)
             yield pa.RecordBatch.from_arrays(
                 [
@@ -287,7 +289,7 @@ def _base_counts(words: Words) -> list[np.ndarray]:
     line_starts, line_ends = line_starts[worded], line_ends[worded]
     line_row = (np.searchsorted(words.bounds, line_starts, side="right") - 1).astype(np.uint64)
     key = mixed(words.byte_runs(line_starts, line_ends) ^ mixed(line_row, 5), 6)
-    first = np.unique(key, return_index=True)[1]
+    first = distinct(key)[0]
     lines = np.bincount(line_row.astype(np.int64), minlength=n_rows)
     n_dup_lines = lines - np.bincount(line_row[first].astype(np.int64), minlength=n_rows)
 
@@ -298,7 +300,7 @@ def _base_counts(words: Words) -> list[np.ndarray]:
         window = mixed(mixed(mixed(h[:-2], 1) ^ h[1:-1], 2) ^ h[2:], 3)
         whole = row[:-2] == row[2:]
         key = mixed(window ^ mixed(row[:-2].astype(np.uint64), 8), 9)[whole]
-        at, times = np.unique(key, return_inverse=True, return_counts=True)[1:]
+        _, at, times = distinct(key)
         repeated = np.flatnonzero(whole)[times[at] > 1]
         for k in range(3):
             covered[repeated + k] = True
@@ -334,7 +336,8 @@ def measured(
                 of_gram = np.repeat(lang_of, each)
                 for code in np.unique(lang_of):
                     own = of_gram == code
-                    surprise[own] = -models[names[code]].log_probability(grams[own])
+                    one, at_gram, _ = distinct(grams[own])  # ascending, as look-ups like them
+                    surprise[own] = -models[names[code]].log_probability(grams[own][one])[at_gram]
                 sums = [
                     np.add.reduceat(x, begins)[at] if len(at) else np.zeros(0)
                     for x in (surprise, surprise * surprise)

@@ -33,6 +33,21 @@ def mixed(x: np.ndarray, seed: int = 0) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For the distinct keys in ascending order: where one of each is, the inverse and the counts.
+
+    ``np.unique`` finds the first of each by a stable sort, which takes several times as long.
+    """
+    order = np.argsort(keys)
+    ordered = keys[order]
+    new = np.ones(len(keys), bool)
+    np.not_equal(ordered[1:], ordered[:-1], out=new[1:])
+    inverse = np.empty(len(keys), np.int64)
+    inverse[order] = np.cumsum(new) - 1
+    begins = np.flatnonzero(new)
+    return order[begins], inverse, np.diff(begins, append=len(keys))
+
+
 _BYTE = mixed(np.arange(256, dtype=np.uint64), 1)
 
 
