@@ -182,7 +182,7 @@ def near_duplicates(
     first = in_class.where("id = class_id").select("id", "left", "right")
     tokens = shared_sketches(first)
     parts = linked_components(
-        saved(tensored_buckets(tokens), "buckets"),
+        [tensored_buckets(tokens)],
         tokens,
         lambda ids: whole_sets(docs, ids, id_column, text_column, width),
         _of_repeated_ids(members),
