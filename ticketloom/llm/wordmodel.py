@@ -22,8 +22,8 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ticketloom.llm.shared import checkpointed, discarded, saved
-from ticketloom.session import shared_path
+from ticketloom.llm.shared import checkpointed, saved, scratch
+from ticketloom.session import discarded, shared_path
 from ticketloom.llm.wordhash import chunks, distinct, mixed
 
 BEGIN, END = 0, 1
@@ -170,10 +170,11 @@ def _numbers(lists: DataFrame, shards: dict[str, int]) -> DataFrame:
     return asked.groupBy("lang", "shard").applyInArrow(number, _REPLY)
 
 
-def token_blocks(docs: DataFrame, text_column: str, lang_column: str) -> DataFrame:
+def token_blocks(docs: DataFrame, text_column: str, lang_column: str, folder: str | None = None) -> DataFrame:
     """One row per block of texts of a language: their prints and lengths, the numbers of the
     block's distinct words, both marks first and then by frequency, and the place of each word
-    in that list. Lists of hashes are removed when they are numbered, as they are half as large."""
+    in that list. Lists of hashes are removed when they are numbered, as they are half as large.
+    The blocks are written to ``folder``, if there is one."""
 
     def named(left: pa.Table, right: pa.Table) -> pa.Table:
         row, answers = left.to_pylist()[0], right.to_pylist()
@@ -195,7 +196,7 @@ def token_blocks(docs: DataFrame, text_column: str, lang_column: str) -> DataFra
     for k in range(SLICES):
         mine = F.pmod(F.xxhash64("block"), F.lit(SLICES)) == k
         of_block = [x.where(mine).groupBy("block") for x in (tokens, numbers)]
-        blocks.append(saved(of_block[0].cogroup(of_block[1]).applyInArrow(named, _BLOCK), "word-blocks"))
+        blocks.append(saved(of_block[0].cogroup(of_block[1]).applyInArrow(named, _BLOCK), "word-blocks", folder and f"{folder}/word-blocks-{k}"))
     for gone in (path, given):
         discarded(spark, gone)
     return reduce(DataFrame.unionAll, blocks)
@@ -572,27 +573,28 @@ def word_surprise(docs: DataFrame, text_column: str, lang_column: str) -> DataFr
     probabilities and the squares of these. A bigram counts as often as there are
     words before it, or, at the beginning of a text, as often as it occurs.
     """
-    blocks = token_blocks(docs, text_column, lang_column)
-    sizes = blocks.groupBy("lang").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("blocks")).collect()
-    shards = {r["lang"]: -(-r["n"] // (SHARD * SLICES)) for r in sizes}
-    hot = _frequent(blocks, max([1, *(r["blocks"] for r in sizes)]))
-
-    def answer(table: pa.Table) -> pa.Table:
-        return _answer(table, shards[table["lang"][0].as_py()])
-
-    answers = reduce(
-        DataFrame.unionAll,
-        [
-            saved(_asked(blocks, hot, shards, k).groupBy("lang", "role", "shard").applyInArrow(answer, _REPLY), "word-answers")
-            for k in range(SLICES)
-        ],
-    )
-    counted = saved(_continuations(blocks, answers, shards), "word-continuations")
-    sent = docs.sparkSession.sparkContext.broadcast(_languages(answers, counted))
-    scored = []
-    for k in range(SLICES):
-        mine = F.pmod(F.xxhash64("block"), F.lit(SLICES)) == k
-        found = answers.unionAll(counted).where(F.col("block") >= 0).where(mine)
-        scored.append(saved(_scores(blocks.where(mine), found, hot, shards, sent), "word-scores"))
-    values = F.max(F.struct("word_n", "word_surprise", "word_squares")).alias("v")
-    return checkpointed(reduce(DataFrame.unionAll, scored).groupBy(*TEXT).agg(values).select(*TEXT, "v.*"))
+    with scratch(docs.sparkSession) as folder:
+        blocks = token_blocks(docs, text_column, lang_column, folder)
+        sizes = blocks.groupBy("lang").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("blocks")).collect()
+        shards = {r["lang"]: -(-r["n"] // (SHARD * SLICES)) for r in sizes}
+        hot = _frequent(blocks, max([1, *(r["blocks"] for r in sizes)]))
+
+        def answer(table: pa.Table) -> pa.Table:
+            return _answer(table, shards[table["lang"][0].as_py()])
+
+        answers = reduce(
+            DataFrame.unionAll,
+            [
+                saved(_asked(blocks, hot, shards, k).groupBy("lang", "role", "shard").applyInArrow(answer, _REPLY), "word-answers", f"{folder}/word-answers-{k}")
+                for k in range(SLICES)
+            ],
+        )
+        counted = saved(_continuations(blocks, answers, shards), "word-continuations", f"{folder}/word-continuations")
+        sent = docs.sparkSession.sparkContext.broadcast(_languages(answers, counted))
+        scored = []
+        for k in range(SLICES):
+            mine = F.pmod(F.xxhash64("block"), F.lit(SLICES)) == k
+            found = answers.unionAll(counted).where(F.col("block") >= 0).where(mine)
+            scored.append(saved(_scores(blocks.where(mine), found, hot, shards, sent), "word-scores", f"{folder}/word-scores-{k}"))
+        values = F.max(F.struct("word_n", "word_surprise", "word_squares")).alias("v")
+        return checkpointed(reduce(DataFrame.unionAll, scored).groupBy(*TEXT).agg(values).select(*TEXT, "v.*"))
