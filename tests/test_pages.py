@@ -7,9 +7,11 @@ import pytest
 from conftest import values
 from ticketloom import schemas
 from ticketloom.operators import pages as ops
+from ticketloom.plans import associations as plan
 from ticketloom.plans.associations import MissingPages, load_associations, load_tickets
 from ticketloom.sources import landed
 from ticketloom.streaming import landing
+from ticketloom.workload import pages as workload
 
 
 def land(folder, name, *responses):
@@ -168,3 +170,17 @@ def test_different_responses_are_shuffled_once_as_short_columns(spark, tmp_path)
     pages = sorted((r["ticket_id"], r["page"], len(r["results"] or [])) for r in found.collect())
     assert [(t, p) for t, p, _ in pages] == [("1", 0), ("1", 1), ("2", 0)] and sorted(n for *_, n in pages) == [0, 0, 2]
     assert values(workload.landed_edges(spark, str(tmp_path)), "ticket_id", "association_id") == [("1", "3"), ("1", "7")]
+
+
+def test_batch_edges_in_turns_and_landed_text_is_compressed(spark, tmp_path, monkeypatch):
+    result = {"from": {"id": "7"}, "to": [{"id": str(k % 5), "associationTypeId": "t"} for k in range(6)]}
+    bodies = [(json.dumps({"status": "ok", "results": [result | {"from": {"id": str(k)}}]}),) for k in (7, 7, 8, 9)]
+    monkeypatch.setattr(workload, "shared_path", lambda _, name: f"{tmp_path}/{name}")
+    path = workload._landed(spark.createDataFrame(bodies, "body string"), "landed")
+    files = list((tmp_path / "landed").glob("part-*"))
+    assert files and all(f.suffix == ".gz" for f in files)
+    whole = load_associations(spark, batch_path=path).edges
+    monkeypatch.setattr(plan, "EDGES_AT_ONCE", 5)
+    found = load_associations(spark, batch_path=path).edges
+    assert len(found.inputFiles()) >= len(whole.inputFiles()) and found.count() == 18
+    assert values(found) == values(whole)
