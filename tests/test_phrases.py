@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 import re
+import uuid
 
 import numpy as np
 import pytest
@@ -68,6 +69,20 @@ def test_longest_phrase_at_the_leftmost_place(spark, phrases):
     assert values(substitute_phrases(df, "body", phrases.limit(0), "said").where("id < 9"), "said") == values(df.where("id < 9"), "body")
 
 
+def test_texts_substituted_in_turns(spark, phrases, monkeypatch, tmp_path):
+    rng = random.Random(4)
+    texts = [" ".join(rng.choices("goede Morgen de hele dag niet één op zicht".split(), k=rng.randint(1, 20))) for _ in range(40)]
+    texts += [None, "", "dag"]
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, body string")
+    for module in (session, ops):
+        monkeypatch.setattr(module, "shared_path", lambda _, name: f"{tmp_path}/{name}-{uuid.uuid4().hex}")
+    monkeypatch.setattr(ops, "CHARACTERS", 100)
+    found = substitute_phrases(df, "body", phrases, "said")
+    assert values(found, "id", "body", "said") == sorted(((i, x, plain(x, PHRASES)) for i, x in enumerate(texts)), key=repr)
+    written = {p.relative_to(tmp_path).parts[0].rpartition("-")[0] for p in tmp_path.rglob("part-*.parquet")}
+    assert written == {"phrase-trie", "substituted"}  # the texts' copy is gone
+
+
 def test_trie_has_every_prefix_once(phrases):
     rows = {r["prefix"]: (r["depth"], r["answer"], r["longer"]) for r in phrase_trie(phrases).collect()}
     assert rows["goede"] == (1, "good", True) and rows["goede morgen"] == (2, "good morning", True)

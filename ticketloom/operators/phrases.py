@@ -9,6 +9,7 @@ or sent to all tasks, unless Spark finds it small enough.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -17,7 +18,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ticketloom.session import staged
+from ticketloom.session import discarded, shared_path, staged
 
 # A word is a run of letters; the words of a phrase have white space between them.
 WORD = r"\p{L}+"
@@ -26,6 +27,8 @@ SPACE = r"^\s+$"
 # through; what they are is settled by the join.
 BITS_PER_PREFIX, MOST_BITS, PROBES = 16, 1 << 28, 3
 _BLOCK_WORDS = 1 << 19
+# Texts of more characters in all are substituted in so many turns.
+CHARACTERS, TURNS = 1 << 26, 8
 
 
 def words_of(text: Column) -> Column:
@@ -145,14 +148,17 @@ def _candidates(block: pa.RecordBatch, filled: np.ndarray, depth: int) -> Iterat
         at, prefix = at[goes_on], _longer(prefix[goes_on], hashes[following[goes_on]])
 
 
-def phrase_places(texts: DataFrame, trie: DataFrame, key: str, text: str, depth: int) -> DataFrame:
+def phrase_places(
+    texts: DataFrame, trie: DataFrame, key: str, text: str, depth: int, filled: np.ndarray | None = None
+) -> DataFrame:
     """``(key, places, n_words, answer)``: every phrase of every text, and the words it begins at.
 
-    ``depth`` is the number of words of the longest phrase; the trie is read more than once.
+    ``depth`` is the number of words of the longest phrase, ``filled`` the filter of the trie's
+    prefixes, if there is one already; the trie is read more than once.
     A phrase that most texts have is a hot key of the join, whose two sides come straight
     from shuffles: adaptive execution may split it.
     """
-    filled = _prefix_filter(trie)
+    filled = _prefix_filter(trie) if filled is None else filled
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -225,8 +231,24 @@ def substitute_phrases(df: DataFrame, column: str, phrases: DataFrame, output: s
     depth = trie.agg(F.max("depth").alias("d")).first()["d"]
     if depth is None:
         return df.withColumn(output, F.col(column))
-    rows = staged(df.withColumn("__row", F.monotonically_increasing_id()), "texts")
-    matches = phrase_places(rows, trie, "__row", column, depth)
+    filled = _prefix_filter(trie)
+    rows = df.withColumn("__row", F.monotonically_increasing_id())
+    if (df.agg(F.sum(F.length(column))).first()[0] or 0) <= CHARACTERS:
+        return _substituted(staged(rows, "texts"), column, trie, depth, filled, output)
+    # Every word may be a phrase, so what is shuffled for a text is several times as large as it.
+    spark, path = df.sparkSession, shared_path(df.sparkSession, "texts")
+    turn = F.pmod(F.xxhash64("__row"), F.lit(TURNS)).alias("__turn")
+    rows.select("*", turn).write.option("compression", "zstd").partitionBy("__turn").parquet(path)
+    found = []
+    for k in range(TURNS):
+        part = spark.read.schema(rows.schema).parquet(f"{path}/__turn={k}")
+        found.append(staged(_substituted(part, column, trie, depth, filled, output), "substituted"))
+        discarded(spark, f"{path}/__turn={k}")
+    return reduce(DataFrame.unionAll, found)
+
+
+def _substituted(rows: DataFrame, column: str, trie: DataFrame, depth: int, filled: np.ndarray, output: str) -> DataFrame:
+    matches = phrase_places(rows, trie, "__row", column, depth, filled)
     lists = matches.groupBy(F.col("__row").alias("__of")).agg(F.collect_list(F.struct("places", "n_words", "answer")).alias("__places"))
     text = F.when(F.col("__places").isNotNull(), F.col(column))
     fields = [F.col(f"__places.{name}") for name in ("places", "n_words", "answer")]
